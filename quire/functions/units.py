@@ -45,7 +45,7 @@ LONGEST = max(len(s.split()) for s in SPELLED)
 
 TOKEN = re.compile(r"'000|us\$|\$|¢|%|‰|000\b|[a-z]+(?:[.-][a-z]+)*")
 DIGIT = "0-9" + "".join(MISREAD)
-NUMBER = re.compile(rf"[{DIGIT}.,](?:[{DIGIT}.,]|[    ](?=[{DIGIT}]{{3}}(?![^\W_])))*")
+NUMBER = re.compile(rf"[{DIGIT}.,](?:[{DIGIT}.,]|[    ](?=(?=\D{{0,2}}\d)[{DIGIT}]{{3}}(?![^\W_])))*")
 DATE = re.compile(r"\d{1,4}[/.-]\d{1,2}[/.-]\d{1,4}$")
 NOTES = re.compile(r"[\s*†‡§]+$")
 TRANSLATE = str.maketrans(MISREAD)
