@@ -30,8 +30,8 @@ from quire.session import cut
 
 # What is printed, and what scanners read instead.
 CONFUSIONS = [
-    ("a", "@"), ("b", "6"), ("b", "h"), ("c", "e"), ("cl", "d"), ("d", "cl"), ("e", "c"), ("e", "¢"), ("f", "t"), ("g", "9"), ("h", "b"), ("i", "1"), ("i", "l"), ("i", "|"),
-    ("ii", "u"), ("l", "1"), ("l", "|"), ("l", "i"), ("m", "rn"), ("n", "ri"), ("o", "0"), ("ri", "n"), ("rn", "m"), ("s", "5"), ("t", "f"), ("ti", "u"), ("u", "ii"), ("u", "ti"), ("v", "y"), ("y", "v"), ("z", "2"),
+    ("a", "@"), ("b", "6"), ("b", "h"), ("c", "e"), ("cl", "d"), ("d", "cl"), ("e", "c"), ("e", "¢"), ("f", "t"), ("fi", "ﬁ"), ("fl", "ﬂ"), ("g", "9"), ("h", "b"), ("i", "1"), ("i", "l"), ("i", "|"),
+    ("ii", "u"), ("l", "1"), ("l", "|"), ("l", "i"), ("li", "h"), ("m", "rn"), ("n", "ri"), ("o", "0"), ("ri", "n"), ("rn", "m"), ("s", "5"), ("t", "f"), ("ti", "u"), ("u", "ii"), ("u", "ti"), ("v", "y"), ("w", "vv"), ("y", "v"), ("z", "2"),
 ]
 #: Cost of a known confusion; other edits cost one each. Repairs may cost so much at most.
 CONFUSED, MOST_COST = 0.3, 0.65
@@ -85,6 +85,14 @@ def furniture_lines(text: str, page: int | None) -> list[tuple[int, int]]:
     return out
 
 
+def without_furniture(text: str, page: float | None) -> tuple[str, list[tuple[int, int]]]:
+    """The text with furniture lines (and their ends) blanked, so offsets hold, and their bounds."""
+    spans = furniture_lines(text, None if page is None or page != page else int(page))
+    for s, e in spans:
+        text = text[:s] + " " * (e - s) + text[e:]
+    return text, spans
+
+
 def cores(token: str) -> list[tuple[int, str]]:
     """Word-like parts of a token without its punctuation: (offset, part)."""
     if FORMULA.search(token):
@@ -169,8 +177,9 @@ def word_counts(items: DataFrame) -> DataFrame:
         low: Counter = Counter()
         for b in batches:
             raw: Counter = Counter()
-            for t in b["text"]:
+            for t, page in zip(b["text"], b["page"]):
                 if "\n" in t:
+                    t, _ = without_furniture(t, page)
                     for m in HYPHEN.finditer(t):
                         total["h", f"{m[1].lower()}{m[2]}{m[3].lower()}"] += 1
                     t = _blank_hyphens(t)
@@ -188,7 +197,7 @@ def word_counts(items: DataFrame) -> DataFrame:
                 total, low = Counter(), Counter()
         yield _count_rows(total, low)
 
-    rows = items.where("prose").select("text").mapInPandas(count, "kind string, token string, n long, n_lower long")
+    rows = items.where("prose").select("text", "page").mapInPandas(count, "kind string, token string, n long, n_lower long")
     return cut(rows.groupBy("kind", "token").agg(F.sum("n").alias("n"), F.sum("n_lower").alias("n_lower")), "words")
 
 
@@ -272,7 +281,8 @@ def marks(items: DataFrame, fixes: DataFrame) -> DataFrame:
         for b in batches:
             out, pairs = [], Counter()
             for source, item, h, text, page in zip(b["item_source"], b["item_id"], b["h"], b["text"], b["page"]):
-                for s, e in furniture_lines(text, None if page is None or page != page else int(page)):
+                text, lines = without_furniture(text, page)
+                for s, e in lines:
                     out.append(("f", source, item, h, s, e, None, None, 0))
                 clean = text
                 if "\n" in text:
@@ -297,7 +307,7 @@ def marks(items: DataFrame, fixes: DataFrame) -> DataFrame:
                     if numbers:
                         at = clean.index(token, at)
                         out += [("n", source, item, h, at + o, at + o + len(c), c, None, 0) for o, c in numbers]
-            out += [("g", None, None, None, None, None, x, y, n) for (x, y), n in pairs.items()]
+            out += [("g", "", "", 0, 0, 0, x, y, n) for (x, y), n in pairs.items()]
             yield pd.DataFrame(out, columns=[c.split()[0] for c in MARKS.split(", ")])
 
     return cut(items.where("prose").withColumn("h", F.xxhash64("text")).select("item_source", "item_id", "h", "text", "page").mapInPandas(mark, MARKS), "marks")
