@@ -20,11 +20,15 @@ from pyspark.sql import functions as F
 
 from quire.functions.units import DIMENSION, Stated, money_note, parse_quantity, parse_unit, split_header
 
+#: Rows that a unit catalogue may have; it goes to every task.
+MOST_UNITS = 10_000
 PARSED = "cell_id bigint, name string, raw_value string, units string, header string, note string, stored double, number double, quantity string"
 
 
 def _catalogue(rows: list) -> dict[str, tuple[str, float, float, str]]:
     """unit name -> (quantity, factor, offset, common unit); a catalogue is a fixed small table."""
+    if len(rows) > MOST_UNITS:
+        raise ValueError("the unit catalogue must be a small table")
     return {r["unit_name"]: (r["quantity"], r["factor_to_common"], 0.0, r["common_unit"]) for r in rows if r["unit_name"] is not None}
 
 
@@ -76,7 +80,7 @@ def _convert(catalogue: dict):
 
 def common_units(cells: DataFrame, tables: DataFrame, unit_catalogue: DataFrame) -> DataFrame:
     """One row a quantity cell: its value in the common unit and the stored value."""
-    catalogue = _catalogue(unit_catalogue.select("quantity", "unit_name", "factor_to_common", "common_unit").limit(10_000).collect())
+    catalogue = _catalogue(unit_catalogue.select("quantity", "unit_name", "factor_to_common", "common_unit").limit(MOST_UNITS + 1).collect())
     unknown = {q for q, *_ in catalogue.values()} - set(DIMENSION)
     if unknown:
         raise ValueError(f"quantities without a dimension: {sorted(unknown)}")
