@@ -45,7 +45,10 @@ DELETES = 2
 BROADCAST_WORDS = 400_000
 
 HYPHENS = "-\xad‐¬"
-HYPHEN = re.compile(rf"([^\W\d_]+(?:-[^\W\d_]+)*)([{HYPHENS}])[ \t]*\r?\n[ \t]*([^\W\d_]+)")
+BREAK = re.compile(rf"([{HYPHENS}])[ \t]*\r?\n\s*([^\W\d_]+)")
+HALF = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)*$")
+#: Longest first half of a cut word.
+HALF_CHARS = 80
 EDGE = ".,;:?!()[]{}\"'“”‘’«»•*$%†‡" + HYPHENS
 WORDLIKE = re.compile(r"[^\W_@¢|]*[^\W\d_][^\W_]*(?:[@¢|0-9][^\W_]*)*|[@¢|][^\W_]+(?:[@¢|][^\W_]*)*")
 PLAIN = re.compile(r"[^\W\d_]+")
@@ -58,6 +61,7 @@ DRESSED = re.compile(r"(?:[-–—~*·]+|\[|\(|\|)\s*\d{1,4}\s*(?:[-–—~*·]+
 BARRED = re.compile(r"[^|]{0,80}\S\s+\|\s+\d{1,4}|\d{1,4}\s+\|\s+\S[^|]{0,80}")
 TITLED = re.compile(r"\d{1,4}\s{2,}\S.*|\S.*\S\s{2,}\d{1,4}|[^\W\d_]+ \d{1,3}\s{2,}\S.*")
 TITLE_CHARS = 100
+_LAST = frozenset("0123456789-–—~*·])|")
 
 
 def furniture(line: str, page: int | None) -> bool:
@@ -65,11 +69,15 @@ def furniture(line: str, page: int | None) -> bool:
     x = line.strip()
     if not x or len(x) > TITLE_CHARS:
         return False
+    # what no pattern below can match is told by its ends, so most lines cost no regular expression
+    if x.isupper():
+        if len(PLAIN.findall(x)) >= 3 and not re.search(r"[.,;=$]", x):
+            return True
+    elif not (x[-1] in _LAST or "  " in x or "|" in x or "\t" in x):
+        return False
     if BARE.fullmatch(x):
         return page is not None and abs(int(x) - page) <= 2
-    if PAGE.fullmatch(x) or DRESSED.fullmatch(x) or BARRED.fullmatch(x) or TITLED.fullmatch(x):
-        return True
-    return x == x.upper() and x != x.lower() and len(PLAIN.findall(x)) >= 3 and not re.search(r"[.,;=$]", x)
+    return bool(PAGE.fullmatch(x) or DRESSED.fullmatch(x) or BARRED.fullmatch(x) or TITLED.fullmatch(x))
 
 
 def furniture_lines(text: str, page: int | None) -> list[tuple[int, int]]:
@@ -77,9 +85,13 @@ def furniture_lines(text: str, page: int | None) -> list[tuple[int, int]]:
     if "\n" not in text:
         return []
     lines, at, out = text.split("\n"), 0, []
-    full = [i for i, x in enumerate(lines) if x.strip()]
+    first, last = 0, len(lines) - 1
+    while first < last and not lines[first].strip():
+        first += 1
+    while last > first and not lines[last].strip():
+        last -= 1
     for i, x in enumerate(lines):
-        if full and full[0] < i < full[-1] and furniture(x, page):
+        if first < i < last and furniture(x, page):
             out.append((at, at + len(x) + 1))
         at += len(x) + 1
     return out
@@ -157,9 +169,22 @@ def cost(seen: str, word: str, most: float = MOST_COST) -> float:
     return rows[n][m] if rows[n][m] <= most else float("inf")
 
 
-def _blank_hyphens(text: str) -> str:
-    """The text with words cut at line ends blanked, so their halves count as no words."""
-    return HYPHEN.sub(lambda m: re.sub(r"[^\n]", " ", m[0]), text) if "\n" in text else text
+def line_breaks(text: str) -> list[tuple[int, int, str]]:
+    """Bounds of words with a hyphen at a line end, and both halves with the mark, lower-cased."""
+    out = []
+    if "\n" in text:
+        for m in BREAK.finditer(text):
+            left = HALF.search(text[max(0, m.start() - HALF_CHARS) : m.start()])
+            if left:
+                out.append((m.start() - len(left[0]), m.end(), f"{left[0].lower()}{m[1]}{m[2].lower()}"))
+    return out
+
+
+def blanked(text: str, spans: list) -> str:
+    """The text with the words of ``spans`` blanked, so halves of cut words count as no words."""
+    for s, e, *_ in spans:
+        text = text[:s] + " " * (e - s) + text[e:]
+    return text
 
 
 def texts(blocks: DataFrame, cells: DataFrame) -> DataFrame:
@@ -180,9 +205,9 @@ def word_counts(items: DataFrame) -> DataFrame:
             for t, page in zip(b["text"], b["page"]):
                 if "\n" in t:
                     t, _ = without_furniture(t, page)
-                    for m in HYPHEN.finditer(t):
-                        total["h", f"{m[1].lower()}{m[2]}{m[3].lower()}"] += 1
-                    t = _blank_hyphens(t)
+                    broken = line_breaks(t)
+                    total.update(("h", pair) for _, _, pair in broken)
+                    t = blanked(t, broken)
                 raw.update(t.split())
             for token, n in raw.items():
                 parts = cores(token)
@@ -284,19 +309,23 @@ def marks(items: DataFrame, fixes: DataFrame) -> DataFrame:
                 text, lines = without_furniture(text, page)
                 for s, e in lines:
                     out.append(("f", source, item, h, s, e, None, None, 0))
-                clean = text
-                if "\n" in text:
-                    for m in HYPHEN.finditer(text):
-                        out.append(("h", source, item, h, m.start(), m.end(), f"{m[1].lower()}{m[2]}{m[3].lower()}", None, 0))
-                    clean = _blank_hyphens(text)
+                broken = line_breaks(text)
+                out += [("h", source, item, h, s, e, pair, None, 0) for s, e, pair in broken]
+                clean = blanked(text, broken)
                 at, before = 0, ""
                 for token in clean.split():
                     known = memo.get(token)
                     if known is None:
                         if len(memo) > 500_000:
                             memo.clear()
-                        known = memo[token] = (tuple((o, p.lower(), len(p)) for o, p in cores(token)), tuple(number_cores(token)))
-                    words_, numbers = known
+                        words_ = [(o, p.lower(), len(p)) for o, p in cores(token)]
+                        numbers = number_cores(token)
+                        plain = not numbers and noisy is not None and not any(w in noisy or w in choice for _, w, _ in words_)
+                        known = memo[token] = (plain, words_[-1][1] if words_ else "", words_, numbers)
+                    plain, last, words_, numbers = known
+                    if plain:
+                        before = last or before
+                        continue
                     for o, low, size in words_:
                         if noisy is None or low in noisy:
                             at = clean.index(token, at)
