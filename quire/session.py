@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -30,11 +32,20 @@ def scratch_root(spark: SparkSession) -> str:
             if not spark.sparkContext.master.startswith("local"):
                 raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             base = tempfile.mkdtemp(prefix="quire-")
-            atexit.register(__import__("shutil").rmtree, base, ignore_errors=True)
+            atexit.register(shutil.rmtree, base, ignore_errors=True)
         _ROOTS[key] = f"{base.rstrip('/')}/quire-{uuid.uuid4().hex[:12]}"
+        atexit.register(_drop, spark, _ROOTS[key])
     return _ROOTS[key]
 
 
+def _drop(spark: SparkSession, root: str) -> None:
+    """Delete this session's intermediate tables when the driver ends in order."""
+    with contextlib.suppress(Exception):
+        sc = spark.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame, name: str = "t") -> DataFrame:
     """Write ``df`` to scratch storage and read it back.
 
