@@ -104,10 +104,11 @@ def band_rows(one: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame
 
 def candidate_pairs(bands: DataFrame) -> DataFrame:
     """Distinct pairs (a < b) of classes that share a band and whose sketches agree enough."""
-    other = bands.select("band", F.col("v").alias("w"))
-    differ = F.bit_count(F.col("v").bitwiseXOR(F.col("w")).bitwiseAND((1 << SKETCH) - 1))
-    a, b = F.shiftright("v", SKETCH), F.shiftright("w", SKETCH)
-    return bands.join(other, "band").where((a < b) & (differ <= SKETCH - AGREE)).select(a.alias("a"), b.alias("b")).distinct()
+    # both sides have the same form, so one exchange serves both
+    left, right = bands.select("band", F.col("v").alias("x")), bands.select("band", F.col("v").alias("y"))
+    differ = F.bit_count(F.col("x").bitwiseXOR(F.col("y")).bitwiseAND((1 << SKETCH) - 1))
+    a, b = F.shiftright("x", SKETCH), F.shiftright("y", SKETCH)
+    return left.join(right, "band").where((a < b) & (differ <= SKETCH - AGREE)).select(a.alias("a"), b.alias("b")).distinct()
 
 
 def verified(pairs: DataFrame, one: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
