@@ -45,12 +45,10 @@ def _shift(vertex: Column, level: int) -> Column:
     return -F.log(unit) / RATE
 
 
-def _level(arcs: DataFrame, level: int) -> DataFrame:
+def _level(arcs: DataFrame, n_arcs: int, level: int) -> DataFrame:
     """Cluster (v, centre) of each vertex of ``arcs`` (both directions of every edge)."""
     degrees = arcs.groupBy("src").agg(F.count("*").alias("n"))
-    total = degrees.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    hot, _ = hot_keys(degrees, "src", "n", total)
-    hot = cut(hot, "hot")
+    hot = _cut_hot(degrees, "src", n_arcs)
     label = degrees.select(F.col("src").alias("v"), F.struct((-_shift(F.col("src"), level)).alias("at"), F.col("src").alias("centre")).alias("l"))
     for _ in range(GROWTH):
         reach = salted_join(arcs, label.withColumnRenamed("v", "src"), ["src"], hot, "src", F.col("dst"))
@@ -59,18 +57,21 @@ def _level(arcs: DataFrame, level: int) -> DataFrame:
     return cut(label.select("v", F.col("l.centre").alias("centre")), "clusters")
 
 
+def _cut_hot(counts: DataFrame, key: str, total: int) -> DataFrame | None:
+    hot, _ = hot_keys(counts, key, "n", total)
+    return None if hot is None else cut(hot, "hot")
+
+
 def connected_groups(pairs: DataFrame) -> DataFrame:
     """(node_id, group_id) for every id in ``pairs``(a, b); group_id is the smallest id of the group."""
     arcs = cut(pairs.select(F.col("a").alias("src"), F.col("b").alias("dst")).unionByName(pairs.select(F.col("b").alias("src"), F.col("a").alias("dst"))), "arcs")
     least = arcs.select(F.col("src").alias("v")).distinct().withColumn("least", F.col("v"))
-    levels: list[tuple[DataFrame, DataFrame, DataFrame]] = []
-    while not arcs.isEmpty():
+    levels: list[tuple[DataFrame, DataFrame, DataFrame | None]] = []
+    while n_arcs := arcs.count():
         if len(levels) == MOST_LEVELS:
             raise RuntimeError("the decomposition does not end")
-        cluster = _level(arcs, len(levels))
-        sizes = cluster.groupBy("centre").agg(F.count("*").alias("n"))
-        total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-        hot = cut(hot_keys(sizes, "centre", "n", total)[0], "hot")
+        cluster = _level(arcs, n_arcs, len(levels))
+        hot = _cut_hot(cluster.groupBy("centre").agg(F.count("*").alias("n")), "centre", cluster.count())
         # the smallest id of each cluster; that of a cluster without outer edges is its group
         least = cut(cluster.join(least, "v").groupBy("centre").agg(F.min("least").alias("least")).withColumnRenamed("centre", "v"), "least")
         levels.append((cluster, least, hot))
