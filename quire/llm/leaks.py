@@ -67,7 +67,7 @@ def _local(documents: DataFrame, items: list, doc: str, item: str, run: int, sch
                     leaked = {x for i in hits.tolist() for x in exact.get(" ".join(ws[i : i + run]), ())}
                     docs += [k] * len(leaked)
                     found += leaked
-            yield pd.DataFrame({doc: docs, item: found})
+            yield pd.DataFrame({doc: pd.Series(docs, dtype=object), item: pd.Series(found, dtype=object)})
 
     return documents.mapInPandas(search, schema)
 
@@ -96,7 +96,7 @@ def _shuffled(documents: DataFrame, items: DataFrame, doc: str, item: str, run:
                 a, c = words_of(t), words_of(u)
                 mine = {" ".join(c[i : i + run]) for i in range(len(c) - run + 1)}
                 keep.append(any(" ".join(a[i : i + run]) in mine for i in range(len(a) - run + 1)))
-            yield b.loc[keep, [doc, item]]
+            yield pd.DataFrame({c: b[c].to_numpy()[np.array(keep, bool)] for c in (doc, item)})
 
     return pairs.join(documents, doc).join(items.withColumnRenamed("_text", "_item"), item).mapInPandas(check, schema)
 

@@ -227,8 +227,7 @@ def word_counts(items: DataFrame) -> DataFrame:
 
 
 def _count_rows(total: Counter, low: Counter) -> pd.DataFrame:
-    keys = list(total)
-    return pd.DataFrame({"kind": [k for k, _ in keys], "token": [t for _, t in keys], "n": [total[k] for k in keys], "n_lower": [low[k] for k in keys]})
+    return pd.DataFrame([(k, t, n, low[k, t]) for (k, t), n in total.items()], columns=["kind", "token", "n", "n_lower"])
 
 
 def cut_words(counts: DataFrame) -> DataFrame:
@@ -278,8 +277,8 @@ def repairs(counts: DataFrame) -> DataFrame:
 
     def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            b = b.assign(cost=[cost(s, x) for s, x in zip(b["seen"], b["word"])])
-            yield b[b["cost"] <= MOST_COST].rename(columns={"seen": "token"})[["token", "word", "cost", "n"]]
+            rows = [(s, x, cost(s, x), n) for s, x, n in zip(b["seen"], b["word"], b["n"])]
+            yield pd.DataFrame([r for r in rows if r[2] <= MOST_COST], columns=["token", "word", "cost", "n"])
 
     return cut(pairs.mapInPandas(weigh, "token string, word string, cost double, n long"), "repairs")
 
@@ -377,6 +376,7 @@ def repaired_text(text: str, spans: list) -> str:
         out += [text[at:start], fix]
         at = stop
     whole = "".join(out) + text[at:]
+    whole = re.sub(r"(?<=[^\W\d_][-‐])[ \t]*\r?\n[ \t]*(?=[^\W\d_])", "", whole)  # a compound broken at its own hyphen
     paragraphs = [re.sub(r"[ \t]*\r?\n[ \t]*", " ", p).strip() for p in re.split(r"\n[ \t]*\n", whole)]
     return "\n\n".join(p for p in paragraphs if p)
 

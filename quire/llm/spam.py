@@ -86,15 +86,13 @@ def spam_pages(df: DataFrame, key: str, text: str, lang: str) -> DataFrame:
     """(key, lang, n_words, sentence_share, ratio, deviation, is_spam) of every text with words."""
     rows = cut(features(df, key, text, lang), "features")
     prose = rows.where(F.col("sentence_share") >= SENTENCES)
-    whole = prose.groupBy(F.lit(1).alias("one")).agg(F.percentile_approx("ratio", [0.25, 0.5, 0.75], 1000).alias("q"))
-    whole = whole.select(F.struct(F.col("q")[1].alias("mid"), (1.4826 * (F.col("q")[2] - F.col("q")[0]) / 2 + 0.005).alias("dev")).alias("u3"), "one")
+    q = prose.agg(F.percentile_approx("ratio", [0.25, 0.5, 0.75], 1000)).first()[0] or [0.5, 0.55, 0.6]
+    whole = F.struct(F.lit(q[1]).alias("mid"), F.lit(1.4826 * (q[2] - q[0]) / 2 + 0.005).alias("dev"))
     judged = (
-        rows.withColumn("one", F.lit(1))
-        .join(_usual(prose, ["lang", "size_class"], "u1"), ["lang", "size_class"], "left")
+        rows.join(_usual(prose, ["lang", "size_class"], "u1"), ["lang", "size_class"], "left")
         .join(_usual(prose, ["size_class"], "u2"), "size_class", "left")
-        .join(F.broadcast(whole), "one", "left")
-        .withColumn("u", F.coalesce("u1", "u2", "u3"))
+        .withColumn("u", F.coalesce("u1", "u2", whole))
     )
     deviation = (F.col("ratio") - F.col("u.mid")) / F.col("u.dev")
-    spam = (F.coalesce(deviation, F.lit(-1e9)) < REDUNDANT) & (F.col("sentence_share") < SENTENCES)
+    spam = (deviation < REDUNDANT) & (F.col("sentence_share") < SENTENCES)
     return judged.select(key, "lang", "n_words", "sentence_share", "ratio", deviation.alias("deviation"), spam.alias("is_spam"))
