@@ -31,7 +31,7 @@ from quire.session import cut
 # What is printed, and what scanners read instead.
 CONFUSIONS = [
     ("a", "@"), ("b", "6"), ("b", "h"), ("c", "e"), ("cl", "d"), ("d", "cl"), ("e", "c"), ("e", "¢"), ("f", "t"), ("fi", "ﬁ"), ("fl", "ﬂ"), ("g", "9"), ("h", "b"), ("i", "1"), ("i", "l"), ("i", "|"),
-    ("ii", "u"), ("l", "1"), ("l", "|"), ("l", "i"), ("li", "h"), ("m", "rn"), ("n", "ri"), ("o", "0"), ("ri", "n"), ("rn", "m"), ("s", "5"), ("t", "f"), ("ti", "u"), ("u", "ii"), ("u", "ti"), ("v", "y"), ("w", "vv"), ("y", "v"), ("z", "2"),
+    ("ii", "u"), ("l", "1"), ("l", "|"), ("l", "i"), ("li", "h"), ("m", "rn"), ("n", "ri"), ("nn", "im"), ("o", "0"), ("ri", "n"), ("rn", "m"), ("s", "5"), ("t", "f"), ("ti", "u"), ("u", "ii"), ("u", "ti"), ("v", "y"), ("w", "vv"), ("y", "v"), ("z", "2"),
 ]
 #: Cost of a known confusion; other edits cost one each. Repairs may cost so much at most.
 CONFUSED, MOST_COST = 0.3, 0.65

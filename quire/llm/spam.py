@@ -3,7 +3,7 @@
 Each text is compressed block by block. Its ratio is compared with what ordinary texts of the same
 language and block length reach (median and median absolute deviation over the whole corpus), since
 short blocks compress worse. A text far below that is redundant; it is spam if, besides, less than
-half of its words stand in punctuated sentences.
+``SENTENCES`` of its words stand in punctuated sentences.
 
 Defined results: a null text, and one without words, is no spam; a null or rare language is judged
 against all languages; very long texts are many blocks; repeated rows are judged each; an empty table
@@ -26,9 +26,12 @@ from quire.session import cut
 
 BLOCK = 1500
 #: Deviations below the usual ratio from which a text is redundant.
-REDUNDANT = -2.0
-#: Share of words in sentences under which a text is no prose.
-SENTENCES = 0.5
+REDUNDANT = -1.5
+#: Share of words in sentences under which a text is no prose. Some words of any prose stand outside
+#: sentences (headings, labels, broken lines), so the bound lies below half.
+SENTENCES = 0.4
+#: Share of words in sentences from which a text tells what is usual.
+PROSE = 0.5
 #: Words that a sentence has at least.
 SENTENCE_WORDS = 7
 #: Ordinary texts that a group needs to be judged by its own figures.
@@ -85,7 +88,7 @@ def _usual(rows: DataFrame, by: list[str], name: str) -> DataFrame:
 def spam_pages(df: DataFrame, key: str, text: str, lang: str) -> DataFrame:
     """(key, lang, n_words, sentence_share, ratio, deviation, is_spam) of every text with words."""
     rows = cut(features(df, key, text, lang), "features")
-    prose = rows.where(F.col("sentence_share") >= SENTENCES)
+    prose = rows.where(F.col("sentence_share") >= PROSE)
     q = prose.agg(F.percentile_approx("ratio", [0.25, 0.5, 0.75], 1000)).first()[0] or [0.5, 0.55, 0.6]
     whole = F.struct(F.lit(q[1]).alias("mid"), F.lit(1.4826 * (q[2] - q[0]) / 2 + 0.005).alias("dev"))
     judged = (
