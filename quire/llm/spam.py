@@ -36,6 +36,8 @@ PROSE = 0.5
 SENTENCE_WORDS = 7
 #: Ordinary texts that a group needs to be judged by its own figures.
 GROUP_TEXTS = 50
+#: Groups of language and block length that go to every task; more of them are joined.
+BROADCAST_GROUPS = 50_000
 
 _END = re.compile(r"(?<=[.!?…。])[\"')\]»”]*\s+|\n+")
 _LINK = re.compile(r"https?:|www\.|\]\(|<a\b|\||#\w+\s+#|\w\.\w{2,}/\w")
@@ -91,11 +93,11 @@ def spam_pages(df: DataFrame, key: str, text: str, lang: str) -> DataFrame:
     prose = rows.where(F.col("sentence_share") >= PROSE)
     q = prose.agg(F.percentile_approx("ratio", [0.25, 0.5, 0.75], 1000)).first()[0] or [0.5, 0.55, 0.6]
     whole = F.struct(F.lit(q[1]).alias("mid"), F.lit(1.4826 * (q[2] - q[0]) / 2 + 0.005).alias("dev"))
-    judged = (
-        rows.join(_usual(prose, ["lang", "size_class"], "u1"), ["lang", "size_class"], "left")
-        .join(_usual(prose, ["size_class"], "u2"), "size_class", "left")
-        .withColumn("u", F.coalesce("u1", "u2", whole))
-    )
+    by_class = _usual(prose, ["size_class"], "u2")  # a few dozen rows: blocks have less than two sizes of a block
+    by_lang = cut(_usual(prose, ["lang", "size_class"], "u1"), "usual")
+    if by_lang.count() <= BROADCAST_GROUPS:
+        by_lang = F.broadcast(by_lang)
+    judged = rows.join(by_lang, ["lang", "size_class"], "left").join(F.broadcast(by_class), "size_class", "left").withColumn("u", F.coalesce("u1", "u2", whole))
     deviation = (F.col("ratio") - F.col("u.mid")) / F.col("u.dev")
     spam = (deviation < REDUNDANT) & (F.col("sentence_share") < SENTENCES)
     return judged.select(key, "lang", "n_words", "sentence_share", "ratio", deviation.alias("deviation"), spam.alias("is_spam"))
