@@ -6,12 +6,12 @@ over documents. Only the stitching fold, whose state isn't associative, runs in
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from quire.functions.text import any_of, heading_level, is_list_continuation, is_list_item, is_procedure_item, strip
 from quire.functions import patterns as P
+from quire.operators.folds import fold_groups
 
 #: Heading levels that an outline keeps apart.
 DEPTH = 6
@@ -150,57 +150,48 @@ def furniture(df: DataFrame, frequency: DataFrame, height: float, band: float =
 _OPEN = (".", "!", "?", ":", ";")
 
 
-def _stitch_page(b: pd.DataFrame, height: float) -> list[tuple]:
-    out: list[list] = []
-    for r in b.itertuples(index=False):
-        text = (r.text or "").strip()
-        last = out[-1] if out else None
-        joins = False
-        if last and last[1] == r.block_type == "text" and text:
-            open_end = not last[5].rstrip().endswith(_OPEN)
-            small = text[:1].islower()
-            if last[2] == r.page_idx:
-                near = last[3] is None or r.x0 is None or abs(last[3] - r.x0) <= 20
-            else:
-                near = r.page_idx == last[2] + 1 and (last[4] or 0) >= 0.9 * height and (r.y0 or 0) <= 0.1 * height
-            joins = near and (open_end or small)
-        if joins:
-            old = last[5].rstrip()
-            last[5] = old[:-1] + text if old.endswith("-") else f"{old} {text}"
-            last[6] += 1
-        else:
-            out.append([r.ord, r.block_type, r.page_idx, r.x0, r.y1, text, 1])
-    return [(o[0], o[1], o[2], o[5], o[6]) for o in out]
-
-
 def stitch(df: DataFrame, height: float = 750.0) -> DataFrame:
     """Join paragraphs broken across blocks: an ordered fold in which page and box of the first block stay."""
 
-    def run(b: pd.DataFrame) -> pd.DataFrame:
-        b = b.sort_values("ord", kind="stable")
-        out = pd.DataFrame(_stitch_page(b, height), columns=["ord", "block_type", "page_idx", "text", "n_merged"])
-        out.insert(0, "doc_id", b["doc_id"].iloc[0])
-        return out
+    def fold(rows: list) -> list[tuple]:
+        out: list[list] = []
+        for r in rows:
+            text = (r.text or "").strip()
+            last = out[-1] if out else None
+            joins = False
+            if last and last[2] == r.block_type == "text" and text:
+                broken = not last[6].rstrip().endswith(_OPEN) or text[:1].islower()
+                if last[3] == r.page_idx:
+                    near = last[4] is None or r.x0 is None or abs(last[4] - r.x0) <= 20
+                else:
+                    near = r.page_idx == last[3] + 1 and (last[5] or 0) >= 0.9 * height and (r.y0 or 0) <= 0.1 * height
+                joins = near and broken
+            if joins:
+                old = last[6].rstrip()
+                last[6] = old[:-1] + text if old.endswith("-") else f"{old} {text}"
+                last[7] += 1
+            else:
+                out.append([r.doc_id, r.ord, r.block_type, r.page_idx, r.x0, r.y1, text, 1])
+        return [(o[0], o[1], o[2], o[3], o[6], o[7]) for o in out]
 
     names = ["doc_id", "ord", "block_type", "page_idx", "x0", "y0", "y1", "text"]
-    return df.select(*names).groupBy("doc_id").applyInPandas(run, "doc_id long, ord long, block_type string, page_idx long, text string, n_merged int")
+    return fold_groups(df.select(*names), ["doc_id"], ["ord"], fold, "doc_id long, ord long, block_type string, page_idx long, text string, n_merged int")
 
 
 def cluster_rows(words: DataFrame, threshold: float) -> DataFrame:
     """Row number of each OCR word (page_id, y): the centre of a row is the running mean of its words."""
 
-    def run(b: pd.DataFrame) -> pd.DataFrame:
-        b = b.sort_values(["y", "word_id"], kind="stable")
-        rows, centre, n, k = [], 0.0, 0, -1
-        for y in b["y"]:
-            if n and abs(y - centre) <= threshold:
-                centre, n = (centre * n + y) / (n + 1), n + 1
+    def fold(rows: list) -> list[tuple]:
+        out, centre, n, k = [], 0.0, 0, -1
+        for r in rows:
+            if n and abs(r.y - centre) <= threshold:
+                centre, n = (centre * n + r.y) / (n + 1), n + 1
             else:
-                centre, n, k = y, 1, k + 1
-            rows.append(k)
-        return pd.DataFrame({"page_id": b["page_id"], "word_id": b["word_id"], "row_no": rows})
+                centre, n, k = r.y, 1, k + 1
+            out.append((r.page_id, r.word_id, k))
+        return out
 
-    return words.select("page_id", "word_id", "y").groupBy("page_id").applyInPandas(run, "page_id long, word_id long, row_no int")
+    return fold_groups(words.select("page_id", "word_id", "y"), ["page_id"], ["y", "word_id"], fold, "page_id long, word_id long, row_no int")
 
 
 def gap_groups(df: DataFrame, by: str, at: str, gap: float) -> DataFrame:

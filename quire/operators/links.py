@@ -6,11 +6,11 @@ conditions only act inside it.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.text import cross_references
+from quire.operators.folds import fold_groups
 
 
 def reference_index(defs: DataFrame) -> DataFrame:
@@ -106,15 +106,17 @@ def assign_answers(questions: DataFrame, solutions: DataFrame) -> DataFrame:
     q = questions.select(*fields).withColumn("side", F.lit(0))
     rows = q.unionByName(solutions.select(*fields).withColumn("side", F.lit(1)))
 
-    def run(b: pd.DataFrame) -> pd.DataFrame:
-        b = b.sort_values(["page_idx", "ord"], kind="stable")
+    def fold(rows: list) -> list[tuple]:
         free: dict[tuple, list] = {}
-        for r in b[b["side"] == 0].itertuples(index=False):
-            free.setdefault(("n", r.num), []).append(r)
-            free.setdefault(("c", r.chapter), []).append(r)
+        for r in rows:
+            if r.side == 0:
+                free.setdefault(("n", r.num), []).append(r)
+                free.setdefault(("c", r.chapter), []).append(r)
         used: set[int] = set()
         out = []
-        for s in b[b["side"] == 1].itertuples(index=False):
+        for s in rows:
+            if s.side == 0:
+                continue
             for tier, zoned, reach in TIERS:
                 pool = free.get(("c", s.chapter) if tier == "chapter" else ("n", s.num), [])
                 fit = [
@@ -127,9 +129,9 @@ def assign_answers(questions: DataFrame, solutions: DataFrame) -> DataFrame:
                     used.add(took)
                     out.append((s.doc_id, s.ord, took, tier))
                     break
-        return pd.DataFrame(out, columns=["doc_id", "ord", "q_ord", "tier"])
+        return out
 
-    return rows.groupBy("doc_id").applyInPandas(run, "doc_id long, ord long, q_ord long, tier string")
+    return fold_groups(rows, ["doc_id"], ["page_idx", "ord"], fold, "doc_id long, ord long, q_ord long, tier string")
 
 
 def nearest_chapter(items: DataFrame, marks: DataFrame, reach: int = 120) -> DataFrame:

@@ -6,12 +6,12 @@ ordered rule chain, and numbered blocks are exploded into their items.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions import qa
 from quire.functions.text import heading_level, stable_id, strip
+from quire.operators.folds import fold_groups
 
 #: Problem numbers after which a restart opens the next block of problems.
 MANY, FEW = 20, 2
@@ -108,10 +108,10 @@ def merge_questions(df: DataFrame, most: int = 1200) -> DataFrame:
     with a bracketed part, or is short; the text stays within ``most`` characters.
     """
 
-    def run(b: pd.DataFrame) -> pd.DataFrame:
+    def fold(rows: list) -> list[tuple]:
         out: list[list] = []
         open_ = False
-        for r in b.sort_values("ord", kind="stable").itertuples(index=False):
+        for r in rows:
             text = (r.text or "").strip()
             if r.segment_type == "question":
                 out.append([r.doc_id, r.ord, r.page_idx, text, 1])
@@ -121,9 +121,9 @@ def merge_questions(df: DataFrame, most: int = 1200) -> DataFrame:
                 out[-1][4] += 1
             else:
                 open_ = False
-        return pd.DataFrame(out, columns=["doc_id", "ord", "page_idx", "text", "n_parts"])
+        return [tuple(o) for o in out]
 
-    return df.select("doc_id", "ord", "page_idx", "segment_type", "text").groupBy("doc_id").applyInPandas(run, "doc_id long, ord long, page_idx long, text string, n_parts long")
+    return fold_groups(df.select("doc_id", "ord", "page_idx", "segment_type", "text"), ["doc_id"], ["ord"], fold, "doc_id long, ord long, page_idx long, text string, n_parts long")
 
 
 def refine_derivations(df: DataFrame) -> DataFrame:
