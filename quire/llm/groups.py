@@ -21,7 +21,7 @@ from quire.operators.skew import hot_keys, salted_join
 from quire.session import cut
 
 #: Rate of the exponential shifts: about ``1 - exp(-RATE)`` of the edges are cut at a level.
-RATE = 0.15
+RATE = 0.05
 #: Steps for which clusters grow at one level.
 GROWTH = 3
 #: No input needs as many levels; each halves the edges at least in expectation.

@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from quire.llm import groups, packing, split
+from quire.operators import skew
 
 TEXTS = st.text(alphabet="ab. \n", max_size=600)
 
@@ -135,3 +136,11 @@ def test_groups_equal_union_find(spark):
 def test_groups_of_nothing(spark):
     df = spark.createDataFrame([("a", "a")], "source_id string, target_id string")
     assert groups.connected_groups(groups.matched_pairs(df, "source_id", "target_id")).count() == 0
+
+
+def test_groups_with_hot_vertices_and_clusters(spark, monkeypatch):
+    monkeypatch.setattr(skew, "FAIR_SHARE", 50)
+    raw = [("hub", f"s{i:03}") for i in range(300)] + [(f"s{i:03}", f"t{i:03}") for i in range(300)] + [(f"u{i}", f"v{i}") for i in range(100)]
+    pairs = groups.matched_pairs(spark.createDataFrame(raw, "source_id string, target_id string"), "source_id", "target_id")
+    got = {r.node_id: r.group_id for r in groups.connected_groups(pairs).collect()}
+    assert got == _components(raw)
