@@ -40,6 +40,23 @@ SCALES = {"k": 1e3, "thsd": 1e3, "thousand": 1e3, "thousands": 1e3, "'000": 1e3,
 JOINED = {"kusd": ("usd", 1e3), "musd": ("usd", 1e6)}
 FILLER = {"in", "of", "pa", "amounts", "are", "figures", "all", "money", "columns", "note", "a"}
 
+#: Common units of the quantities in a coherent base (dollar, kilogram, metre, second).
+COMMON_BASE = {"money": 1.0, "rate": 1.0, "duration": 365 * 86400.0, "mass": 1.0, "volume": 0.158987294928, "energy": 3.6e9}
+# Units beyond the catalogue, for compound expressions: dimension, factor and offset to the base.
+ATOMS = {
+    "w": ((0, 1, 2, -3), 1.0, 0.0), "kw": ((0, 1, 2, -3), 1e3, 0.0), "mw": ((0, 1, 2, -3), 1e6, 0.0), "gw": ((0, 1, 2, -3), 1e9, 0.0), "watt": ((0, 1, 2, -3), 1.0, 0.0), "watts": ((0, 1, 2, -3), 1.0, 0.0),
+    "s": ((0, 0, 0, 1), 1.0, 0.0), "min": ((0, 0, 0, 1), 60.0, 0.0), "h": ((0, 0, 0, 1), 3600.0, 0.0), "hr": ((0, 0, 0, 1), 3600.0, 0.0), "hours": ((0, 0, 0, 1), 3600.0, 0.0), "hour": ((0, 0, 0, 1), 3600.0, 0.0),
+    "weeks": ((0, 0, 0, 1), 7 * 86400.0, 0.0), "week": ((0, 0, 0, 1), 7 * 86400.0, 0.0), "metre": ((0, 0, 1, 0), 1.0, 0.0), "metres": ((0, 0, 1, 0), 1.0, 0.0), "litre": ((0, 0, 3, 0), 1e-3, 0.0), "litres": ((0, 0, 3, 0), 1e-3, 0.0),
+    "j": ((0, 1, 2, -2), 1.0, 0.0), "kj": ((0, 1, 2, -2), 1e3, 0.0), "mj": ((0, 1, 2, -2), 1e6, 0.0), "gj": ((0, 1, 2, -2), 1e9, 0.0),
+}
+#: Quantity and factor to the base of the catalogue's units, for use inside compound expressions.
+IN_BASE = {
+    "US dollar": ("money", 1.0), "US cent": ("money", 0.01), "decimal fraction": ("rate", 1.0), "percent": ("rate", 0.01), "basis point": ("rate", 1e-4), "per mille": ("rate", 1e-3),
+    "year": ("duration", 365 * 86400.0), "month": ("duration", 365 * 86400.0 / 12), "quarter": ("duration", 365 * 86400.0 / 4), "day": ("duration", 86400.0), "kilogram": ("mass", 1.0), "metric tonne": ("mass", 1e3),
+    "pound": ("mass", 0.45359237), "troy ounce": ("mass", 0.0311034768), "gram": ("mass", 1e-3), "barrel": ("volume", 0.158987294928), "US gallon": ("volume", 0.158987294928 / 42),
+    "megawatt hour": ("energy", 3.6e9), "kilowatt hour": ("energy", 3.6e6), "gigawatt hour": ("energy", 3.6e12),
+}
+
 SPELLED = {s: unit for unit, spellings in SPELLINGS.items() for s in spellings}
 LONGEST = max(len(s.split()) for s in SPELLED)
 
@@ -51,12 +68,35 @@ NOTES = re.compile(r"[\s*†‡§]+$")
 TRANSLATE = str.maketrans(MISREAD)
 
 
+@dataclass(frozen=True)
+class Unit:
+    """A unit as an exponent vector over ``BASES``, a factor and an offset to the base."""
+
+    dims: tuple[int, ...]
+    factor: float
+    offset: float = 0.0
+
+    def times(self, other: Unit, power: int) -> Unit:
+        """Product with a power of another unit; offsets have no meaning in products."""
+        return Unit(tuple(a + power * b for a, b in zip(self.dims, other.dims)), self.factor * other.factor**power)
+
+    @property
+    def quantity(self) -> str | None:
+        """The quantity of this dimension; a pure number is none, since a rate must be named."""
+        return next((q for q, dims in DIMENSION.items() if dims == self.dims and any(dims)), None)
+
+    def common(self, number: float) -> float:
+        """The number in the common unit of its quantity."""
+        return (number * self.factor + self.offset) / COMMON_BASE[self.quantity]
+
+
 @dataclass(frozen=True)
 class Stated:
-    """What one place says of a unit: a scale factor, a unit of the catalogue, or both."""
+    """What one place says of a unit: a scale factor, a unit of the catalogue or a compound one."""
 
     scale: float | None
     unit: str | None
+    compound: Unit | None = None
 
 
 @lru_cache(maxsize=65536)
@@ -68,6 +108,11 @@ def parse_unit(text: str | None) -> Stated | None:
     tokens = [t for raw in TOKEN.findall(low) for t in raw.strip(".").replace(".", "").replace("-", " ").split()]
     if not tokens:
         return None
+    return _compound(low) if JOINS.search(low) else _single(tokens) or _compound(low)
+
+
+def _single(tokens: list[str]) -> Stated | None:
+    """Scale words and one unit of the catalogue."""
     scale = unit = None
     i = 0
     while i < len(tokens):
@@ -93,6 +138,39 @@ def parse_unit(text: str | None) -> Stated | None:
     return Stated(scale, unit) if scale or unit else None
 
 
+JOINS = re.compile(r"[/^·]|\bper (?!mille|cent\b|thousand)")
+FACTOR = re.compile(r"\s*(per\b|/|\*|·|x\b)?\s*([a-z$¢%‰]+(?:[ -][a-z]+)?)\.?(?:\^?(-?\d)|([²³]))?")
+
+
+def _compound(text: str) -> Stated | None:
+    """Products and quotients of units: ``kW h``, ``MWh per day``, ``metres^3``."""
+    unit, at = Unit((0,) * len(BASES), 1.0), 0
+    text = text.strip()
+    while at < len(text):
+        m = FACTOR.match(text, at)
+        if not m:
+            return None
+        name, end = m[2].replace("-", " "), m.end()
+        atom = _atom(name)
+        if atom is None and " " in name:
+            name = name.split(" ")[0]
+            end, atom = m.start(2) + len(name), _atom(name)
+        if atom is None:
+            return None
+        power = (int(m[3]) if m[3] else {"²": 2, "³": 3}.get(m[4], 1)) if end == m.end() else 1
+        unit, at = unit.times(atom, -power if m[1] in ("per", "/") else power), end
+    return Stated(None, None, unit) if unit.quantity else None
+
+
+def _atom(name: str) -> Unit | None:
+    if name in ATOMS:
+        return Unit(*ATOMS[name])
+    if name in SPELLED:
+        quantity, factor = IN_BASE[SPELLED[name]]
+        return Unit(DIMENSION[quantity], factor)
+    return None
+
+
 def parse_number(body: str) -> float | None:
     """Digits with thousands and decimal marks; a single comma before three final digits groups thousands."""
     body = re.sub(r"[\s   ]", "", body.translate(TRANSLATE)).rstrip(".,")

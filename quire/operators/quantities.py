@@ -68,6 +68,11 @@ def _convert(catalogue: dict):
                     stated.append(money_note(note))
                 if unit is None:
                     unit = next((s.unit for s in stated if s.unit), "US dollar" if learned == "money" and stated else None)
+                if unit is None and (compound := next((s.compound for s in stated if s.compound), None)):
+                    common = next((c for q, _, _, c in catalogue.values() if q == compound.quantity), None)
+                    if common:
+                        out.append((cell, compound.quantity, None, compound.common(number), common, stored))
+                    continue
                 if unit not in catalogue:
                     continue
                 quantity, factor, offset, common = catalogue[unit]

@@ -9,7 +9,7 @@ from quire.functions import qa
 from quire.functions import text as T
 from quire.operators import graph, layout, regions, segments
 from quire.operators.tables import one_cell_each
-from quire.plans.books import _HEADS, _LATEST, _ONE_CELL, _any, BOOK_SQL, HEIGHT, book_blocks
+from quire.plans.books import _HEADS, _LATEST, _ONE_CELL, _SYMBOLS, _any, BOOK_SQL, HEIGHT, book_blocks
 from quire.session import table
 from quire.sources import backends
 
@@ -23,7 +23,6 @@ def segment_kinds(spark, d):
     return _typed(spark, d).groupBy("section", "block_type", "segment_type").agg(F.count("*").alias("n_blocks"), F.min("ord").alias("first_ord"))
 
 
-_EQ_LINES = "CASE WHEN contains(t, '=') THEN 1 ELSE 0 END"  # the derived texts are one line each
 _SIGNS = {
     **{name: (weight, _any("low", [pattern], "")) for name, weight, pattern in qa.DERIVATION_SIGNS},
     "by_definition_math": (2, f"({_any('low', [qa.BY_DEFINITION], '')} AND (contains(t, '=') OR {_any('low', [P.EQUATION_MENTION], '')}))"),
@@ -114,6 +113,10 @@ def pruned_segments(spark, d):
     return segments.prune_questions(segments.refine_derivations(_typed(spark, d))).groupBy("segment_type").agg(F.count("*").alias("n_segments"))
 
 
+_PRUNED = _CLASSIFIED + f"""SELECT segment_type, count(*) AS n_segments FROM typed WHERE segment_type IS NOT NULL AND NOT (segment_type = 'question' AND (regexp_matches(t, '(?i)^concept\\s+check\\s*\\d*(?:\\.\\d+)*\\s*$')
+  OR len(regexp_extract_all(t, '[A-Za-z]+')) <= 1 OR (len(regexp_extract_all(t, '[A-Za-z]+')) <= 2 AND NOT {_PROBLEM}))) GROUP BY 1"""
+
+
 def unlinked_solutions(spark, d):
     """Solutions that stay: linked, or neither question-like nor heading-like."""
     s = graph.latest_nodes(table(spark, d, "segments")).where("segment_type = 'solution'").select(graph.node_id(F.col("segment_id")).alias("segment_id"), F.col("text_content").alias("text"))
@@ -134,6 +137,11 @@ f AS (SELECT *, last_value(n IGNORE NULLS) OVER w AS section_number, last_value(
 SELECT doc_id, string_split(section_number, '.')[1] AS chapter, section_number, count(*) AS n_blocks, min(section_title) AS section_title FROM f GROUP BY 1, 2, 3"""
 
 
+_SYMBOL_SCORES = _STATE.rsplit("SELECT doc_id, string_split", 1)[0] + f""", o AS (SELECT f.doc_id, string_split(f.section_number, '.')[1] AS chapter, f.text, lower(outlined.heading_path) AS hp FROM f JOIN outlined ON outlined.doc_id = f.doc_id AND outlined.ord = f.ord WHERE f.block_type = 'formula'),
+p AS (SELECT doc_id, chapter, unnest({_SYMBOLS}) AS symbol, 2 + CASE WHEN regexp_matches(hp, 'key equations|definition|notation') THEN 2 ELSE 0 END AS p FROM o), s AS (SELECT doc_id, chapter, symbol, CAST(sum(p) AS BIGINT) AS score FROM p GROUP BY 1, 2, 3),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, chapter ORDER BY score DESC, symbol) AS rank FROM s) SELECT * FROM r WHERE rank <= 14"""
+
+
 def chapter_gaps(spark, d):
     """Chapters of the books with gaps filled, in natural order."""
     b = book_blocks(spark, d).where("block_type = 'heading' and ord % 5 <> 0")
@@ -269,6 +277,6 @@ QUERIES = {
     )
 }
 SQL = {
-    "segment_kinds": _KINDS, "derivation_scores": _SCORES, "given_values": _GIVEN, "worked_examples": _ABSORB, "unlinked_solutions": _UNLINKED, "chapter_state": _STATE, "chapter_gaps": _GAPS, "table_checks": _CHECKS,
+    "segment_kinds": _KINDS, "derivation_scores": _SCORES, "given_values": _GIVEN, "worked_examples": _ABSORB, "pruned_segments": _PRUNED, "chapter_symbols": _SYMBOL_SCORES, "unlinked_solutions": _UNLINKED, "chapter_state": _STATE, "chapter_gaps": _GAPS, "table_checks": _CHECKS,
     "captions_near": _NEAR, "region_conflicts": _CONFLICT, "page_gaps": _PAGE_GAPS, "word_medians": _MEDIANS, "book_lookup": _LOOKUP, "enrichment_status": _ENRICH, "main_body": _MAIN, "special_terms": _SPECIAL,
 }

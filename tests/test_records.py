@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quire.functions.units import parse_number, parse_quantity, parse_unit, split_header
-from quire.operators import orphans, quantities
+from quire.operators import orphans, quantities, skew
 from quire.operators.skew import salted_join
 
 T = datetime
@@ -57,7 +57,8 @@ def test_orphans_of_empty_tables(spark):
     assert orphans.orphan_references(_refs(spark, [("e", "x", T(2024, 1, 1), 0, 0)]), _parents(spark, [])).count() == 1
 
 
-def test_orphans_of_a_hot_key(spark):
+def test_orphans_of_a_hot_key(spark, monkeypatch):
+    monkeypatch.setattr(skew, "FAIR_SHARE", 500)
     rows = spark.range(30_000).select(F.concat(F.lit("e"), "id").alias("edge_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), "id")).alias("target_id"), F.lit(T(2024, 3, 1)).alias("created_at"))
     refs = orphans.references(rows, "edges.target_id", "edge_id", "target_id")
     parents = _parents(spark, [("k1", T(2024, 1, 1), None)])
@@ -99,6 +100,14 @@ def test_no_quantities(text):
     assert parse_quantity(text) is None
 
 
+def test_compound_units_are_exponent_vectors():
+    kwh = parse_unit("kW h").compound
+    assert kwh.dims == (0, 1, 2, -2) and kwh.quantity == "energy" and kwh.common(5) == pytest.approx(0.005)
+    assert parse_unit("metres^3").compound.common(0.158987294928) == pytest.approx(1) and parse_unit("MWh per year / year^-1").compound.quantity == "energy"
+    assert parse_unit("hours").compound.common(24 * 365) == pytest.approx(1) and parse_unit("dollars per barrel") is None and parse_unit("kg/kg") is None
+    assert parse_quantity("12 kW h") == (12.0, parse_unit("kW h")) and parse_quantity("3 apples per day") is None
+
+
 def test_headers_and_units():
     assert split_header("Face value ($ millions)") == ("face value", parse_unit("$ millions"))
     assert split_header("Yield in % p.a.")[1].unit == "percent"
