@@ -30,7 +30,7 @@ from quire.session import cut
 
 # What is printed, and what scanners read instead.
 CONFUSIONS = [
-    ("a", "@"), ("b", "6"), ("b", "h"), ("c", "e"), ("cl", "d"), ("d", "cl"), ("e", "c"), ("e", "¢"), ("f", "t"), ("fi", "ﬁ"), ("fl", "ﬂ"), ("g", "9"), ("h", "b"), ("i", "1"), ("i", "l"), ("i", "|"),
+    ("a", "@"), ("b", "6"), ("b", "h"), ("c", "("), ("c", "e"), ("cl", "d"), ("d", "cl"), ("e", "c"), ("e", "¢"), ("f", "t"), ("fi", "ﬁ"), ("fl", "ﬂ"), ("g", "9"), ("h", "b"), ("i", "1"), ("i", "l"), ("i", "|"),
     ("ii", "u"), ("l", "1"), ("l", "|"), ("l", "i"), ("li", "h"), ("m", "rn"), ("n", "ri"), ("nn", "im"), ("o", "0"), ("ri", "n"), ("rn", "m"), ("s", "5"), ("t", "f"), ("ti", "u"), ("u", "ii"), ("u", "ti"), ("v", "y"), ("w", "vv"), ("y", "v"), ("z", "2"),
 ]
 #: Cost of a known confusion; other edits cost one each. Repairs may cost so much at most.
@@ -50,7 +50,7 @@ HALF = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)*$")
 #: Longest first half of a cut word.
 HALF_CHARS = 80
 EDGE = ".,;:?!()[]{}\"'“”‘’«»•*$%†‡" + HYPHENS
-WORDLIKE = re.compile(r"[^\W_@¢|]*[^\W\d_][^\W_]*(?:[@¢|0-9][^\W_]*)*|[@¢|][^\W_]+(?:[@¢|][^\W_]*)*")
+WORDLIKE = re.compile(r"[@¢|(]?[^\W_]+(?:[@¢|(]+[^\W_]+)*[@¢|(]?")
 PLAIN = re.compile(r"[^\W\d_]+")
 NUMERIC = re.compile(rf"[0-9{''.join(MISREAD)}]+(?:[.,  ][0-9{''.join(MISREAD)}]+)*")
 FORMULA = re.compile(r"[_^\\={}*/+]")
@@ -114,6 +114,12 @@ def cores(token: str) -> list[tuple[int, str]]:
         a += 1
     while z > a and token[z - 1] in EDGE:
         z -= 1
+    # an open bracket may be a letter that was misread; a closed one is punctuation
+    if ")" not in token:
+        if a and token[a - 1] == "(" and token[a:z]:
+            a -= 1
+        if z < len(token) and token[z] == "(" and token[a:z]:
+            z += 1
     out = []
     for part in re.finditer(r"[^-‐]+", token[a:z]):
         if WORDLIKE.fullmatch(part[0]) and PLAIN.search(part[0]):
@@ -267,7 +273,9 @@ def repairs(counts: DataFrame) -> DataFrame:
     w = counts.where((F.col("kind") == "w") & F.col("token").rlike(r"^.{3,40}$"))
     plain = F.col("token").rlike(r"^\p{L}+$")
     lexicon = w.where(plain & (F.col("n_lower") >= LEAST))
-    odd = w.where(~plain)
+    # a bracket before or after a word of the lexicon is punctuation, no misread letter
+    words = lexicon.select(F.col("token").alias("bare"))
+    odd = w.where(~plain).withColumn("bare", F.regexp_replace("token", r"^\(|\($", "")).join(words, "bare", "left_anti").drop("bare")
     # a plain token may be a misread one only if it isn't as frequent as any word it could stand for
     top = F.lit(lexicon.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0])
     rare = w.where(plain & (F.col("n_lower") > 0) & (F.col("n") * TIMES <= top))

@@ -108,7 +108,7 @@ def test_furniture():
     assert [text[a:z] for a, z in scans.furniture_lines(text, 3)] == ["Page 3\n"]
 
 
-@pytest.mark.parametrize("seen, word", [("f0rward", "forward"), ("periocls", "periods"), ("arnplifies", "amplifies"), ("volaule", "volatile"), ("stnke", "strike"), ("unle5s", "unless"), ("biidget", "budget"), ("diversiﬁed", "diversified")])
+@pytest.mark.parametrize("seen, word", [("f0rward", "forward"), ("periocls", "periods"), ("arnplifies", "amplifies"), ("volaule", "volatile"), ("stnke", "strike"), ("unle5s", "unless"), ("biidget", "budget"), ("diversiﬁed", "diversified"), ("whi(h", "which"), ("(ommittee", "committee")])
 def test_confusions_are_cheap(seen, word):
     assert scans.cost(seen, word) <= scans.MOST_COST
     assert scans.deletes(seen) & scans.deletes(word)
@@ -121,14 +121,15 @@ def test_other_edits_are_not():
 def test_numbers_and_cores():
     assert scans.number_cores("$441,Z79.7") == [(1, "441,Z79.7")] and scans.number_cores("(l.712%)") == [(1, "l.712")]
     assert not any(scans.number_cores(x) for x in ["BBB", "=SUM(B1:B8)", "12.5%", "hello", "B", "S5", "2nd", "$1,200"])
-    assert [c for _, c in scans.cores("(zero-coupon,")] == ["zero", "coupon"] and scans.cores("$$T_m^2$$") == [] and [c for _, c in scans.cores("supp|y.")] == ["supp|y"]
+    assert [c for _, c in scans.cores("zero-coupon,")] == ["zero", "coupon"] and scans.cores("$$T_m^2$$") == [] and [c for _, c in scans.cores("supp|y.")] == ["supp|y"]
+    assert [scans.cores(x)[0] for x in ["re(overy,", "(ommittee", "(see)", "(a)", "publi("]] == [(0, "re(overy"), (0, "(ommittee"), (1, "see"), (1, "a"), (0, "publi(")]
 
 
 def test_scan_repair(spark):
     rng = random.Random(9)
     common = ["forward", "market", "period", "strike", "volatile", "holding", "zero", "coupon", "depends", "reader"]
     plain = [" ".join(rng.choice(common) for _ in range(30)) + " zero-coupon bond." for _ in range(120)]
-    noisy = "The f0rward mar-\nket of\nPage 7\nthe periocl has a zero-\ncoupon hold\xad\ning at l.71% here."
+    noisy = "(period The f0rward mar-\nket of\nPage 7\nthe periocl has a zero-\ncoupon hold\xad\ning at l.71% here."
     rows = [(i, t, "text", 6) for i, t in enumerate(plain)] + [(500, noisy, "text", 6), (500, noisy, "text", 6), (501, None, "text", None), (502, "", "text", 1), (503, "f0rward", "heading", 1), (504, "a zero-\ncoupon strike", "text", 1), (505, "Zanruove Fund", "text", 1)]
     blocks = spark.createDataFrame(rows, "block_key long, text string, block_type string, page_idx int")
     cells = spark.createDataFrame([(1, "$441,Z79.7"), (2, "BBB"), (3, None), (4, "12.5%"), (5, "Volat1le mark¢t")], "cell_id long, raw_value string")
@@ -136,7 +137,7 @@ def test_scan_repair(spark):
     found = {(r.item_source, r.item_id) for r in scans.noise(items).select("item_source", "item_id").distinct().collect()}
     assert found == {("blocks", "500"), ("cell_meta", "1"), ("cell_meta", "5")}
     out = {(r.item_source, r.item_id): r.repaired for r in scans.repair(items).collect()}
-    assert out["blocks", "500"] == "The forward market of the period has a zero-coupon holding at 1.71% here."
+    assert out["blocks", "500"] == "(period The forward market of the period has a zero-coupon holding at 1.71% here."
     assert out["cell_meta", "1"] == "$441,279.7" and out["cell_meta", "5"] == "Volatile market" and out["blocks", "503"] == "f0rward"
 
 
