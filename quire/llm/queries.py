@@ -88,4 +88,14 @@ WITH RECURSIVE pair AS (
 arc AS (SELECT s, t FROM pair WHERE s <> t AND s <> '' AND t <> '' UNION SELECT t, s FROM pair WHERE s <> t AND s <> '' AND t <> ''),
 reach AS (SELECT s AS node_id, s AS seen FROM arc UNION SELECT r.node_id, a.t FROM reach r JOIN arc a ON r.seen = a.s)
 SELECT node_id, min(seen) AS group_id FROM reach GROUP BY node_id""",
+    "p4_found": r"""
+WITH s AS (SELECT DISTINCT segment_id, list_distinct(regexp_extract_all(lower(text_content), '[\p{L}\p{N}]+')) AS w FROM segments WHERE text_content IS NOT NULL),
+t AS (SELECT segment_id, w, len(w) AS n FROM s WHERE len(w) >= 12),
+p AS (SELECT a.segment_id AS segment_id_a, b.segment_id AS segment_id_b, a.n + b.n AS n, len(list_intersect(a.w, b.w)) AS c FROM t a JOIN t b ON a.segment_id < b.segment_id AND a.n <= b.n / 0.7 AND b.n <= a.n / 0.7)
+SELECT DISTINCT segment_id_a, segment_id_b FROM p WHERE c >= 0.7 * (n - c)""",
+    "p8_found": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents), i AS (SELECT item_id, regexp_extract_all(lower(item_text), '[\p{L}\p{N}]+') AS w FROM eval_items),
+dw AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(list_slice(w, k, k + 12), ' '))) AS g FROM d WHERE len(w) >= 13),
+iw AS (SELECT item_id, unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(list_slice(w, k, k + 12), ' '))) AS g FROM i WHERE len(w) >= 13)
+SELECT DISTINCT doc_id, item_id FROM dw JOIN iw ON dw.g = iw.g""",
 }
