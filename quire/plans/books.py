@@ -509,6 +509,11 @@ def concept_pages(spark, d):
     return table(spark, d, "concepts").where("pages is not null").select("concept_id", F.explode(T.page_list(F.col("pages"))).alias("page"))
 
 
+_CONCEPT_PAGES = """WITH p AS (SELECT concept_id, regexp_replace(unnest(string_split_regex(pages, '[,;]')), '\\s', '', 'g') AS x FROM concepts WHERE pages IS NOT NULL),
+e AS (SELECT concept_id, CAST(regexp_extract(x, '^(\\d+)', 1) AS INTEGER) AS a, CAST(regexp_extract(x, '(\\d+)$', 1) AS INTEGER) AS b FROM p WHERE regexp_matches(x, '^\\d+(-\\d+)?$'))
+SELECT DISTINCT concept_id, CAST(unnest(range(least(a, b), greatest(a, b) + 1)) AS INTEGER) AS page FROM e"""
+
+
 def embedding_top5(spark, d):
     """Five nearest vectors of every query vector (ids divisible by 50), against all vectors."""
     v = table(spark, d, "embeddings")
@@ -618,6 +623,6 @@ SQL = {
     "block_types": _BLOCK_TYPES, "clean_text": _CLEAN_TEXT, "classify_objects": _CLASSIFY, "numbering": _NUMBERING, "title_objects": _TITLES, "refs_linked": _REFS_LINKED, "refs_dangling": _REFS_DANGLING, "equation_links": _EQ, "adjacency": _ADJ,
     "section_paths": _SECTIONS, "contents_to_block": _TOC, "list_groups": _LISTS, "title_groups": _TITLE_GROUPS, "furniture_lines": _FURNITURE, "formula_items": _FORMULAS, "formula_canonical": _CANONICAL, "symbol_overlap": _OVERLAP,
     "source_match": _SOURCE, "region_blocks": _REGION, "answer_score": _QA, "nearest_chapter": _NEAREST, "graph_edges": _GRAPH_EDGES, "graph_dangling": _GRAPH_DANGLING, "graph_admitted": _GRAPH_ADMITTED,
-    "graph_counts": _GRAPH + " SELECT kind, count(*) AS n_nodes FROM nodes GROUP BY 1", "question_status": _STATUS, "quality_stats": _QUALITY, "chapter_rollup": _CHAPTERS, "concept_top5": _CONCEPTS, "concept_phrases": _PHRASES,
+    "graph_counts": _GRAPH + " SELECT kind, count(*) AS n_nodes FROM nodes GROUP BY 1", "question_status": _STATUS, "quality_stats": _QUALITY, "chapter_rollup": _CHAPTERS, "concept_top5": _CONCEPTS, "concept_phrases": _PHRASES, "concept_pages": _CONCEPT_PAGES,
     "embedding_top5": _EMBED, "cell_types": _CELL_TYPES, "table_fill": _FILL, "table_markdown": _MARKDOWN, "computed_columns": _COMPUTED, "table_mentions": _MENTIONS, "legend_groups": _LEGEND, "event_windows": _EVENTS,
 }
