@@ -44,7 +44,7 @@ def p4_classes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _scanned(spark: SparkSession, d: str) -> DataFrame:
-    return scans.texts(table(spark, d, "blocks"), table(spark, d, "cell_meta"))
+    return scans.texts(table(spark, d, "blocks"), table(spark, d, "cell_meta"), table(spark, d, "books"))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:

@@ -64,9 +64,11 @@ TITLE_CHARS = 100
 _LAST = frozenset("0123456789-–—~*·])|")
 
 
-def furniture(line: str, page: int | None) -> bool:
-    """Whether a line is a running header or a page number."""
+def furniture(line: str, page: int | None, titles: frozenset[str] = frozenset()) -> bool:
+    """Whether a line is a running header or a page number; ``titles`` of the book are case-folded."""
     x = line.strip()
+    if titles and x.casefold() in titles:
+        return True
     if not x or len(x) > TITLE_CHARS:
         return False
     # what no pattern below can match is told by its ends, so most lines cost no regular expression
@@ -80,7 +82,12 @@ def furniture(line: str, page: int | None) -> bool:
     return bool(PAGE.fullmatch(x) or DRESSED.fullmatch(x) or BARRED.fullmatch(x) or TITLED.fullmatch(x))
 
 
-def furniture_lines(text: str, page: int | None) -> list[tuple[int, int]]:
+def folded_titles(titles: Iterable[str] | None) -> frozenset[str]:
+    """Trimmed, case-folded titles; blank ones would make every blank line a header."""
+    return frozenset(t.strip().casefold() for t in (() if titles is None else titles) if t and t.strip())
+
+
+def furniture_lines(text: str, page: int | None, titles: frozenset[str] = frozenset()) -> list[tuple[int, int]]:
     """Bounds (with the line end) of furniture lines that have text lines before and after."""
     if "\n" not in text:
         return []
@@ -91,15 +98,17 @@ def furniture_lines(text: str, page: int | None) -> list[tuple[int, int]]:
     while last > first and not lines[last].strip():
         last -= 1
     for i, x in enumerate(lines):
-        if first < i < last and furniture(x, page):
+        if first < i < last and furniture(x, page, titles):
             out.append((at, at + len(x) + 1))
         at += len(x) + 1
     return out
 
 
-def without_furniture(text: str, page: float | None) -> tuple[str, list[tuple[int, int]]]:
+def without_furniture(text: str, page: float | None, titles: Iterable[str] | None = None) -> tuple[str, list[tuple[int, int]]]:
     """The text with furniture lines (and their ends) blanked, so offsets hold, and their bounds."""
-    spans = furniture_lines(text, None if page is None or page != page else int(page))
+    if "\n" not in text:
+        return text, []
+    spans = furniture_lines(text, None if page is None or page != page else int(page), folded_titles(titles))
     for s, e in spans:
         text = text[:s] + " " * (e - s) + text[e:]
     return text, spans
@@ -193,10 +202,18 @@ def blanked(text: str, spans: list) -> str:
     return text
 
 
-def texts(blocks: DataFrame, cells: DataFrame) -> DataFrame:
-    """Uniform rows (item_source, item_id, text, page, prose) of blocks and cells."""
-    b = blocks.select(F.lit("blocks").alias("item_source"), F.col("block_key").cast("string").alias("item_id"), "text", F.col("page_idx").cast("int").alias("page"), (~F.coalesce(F.col("block_type"), F.lit("")).isin("heading", "formula")).alias("prose"))
-    c = cells.select(F.lit("cell_meta").alias("item_source"), F.col("cell_id").cast("string").alias("item_id"), F.col("raw_value").alias("text"), F.lit(None).cast("int").alias("page"), F.lit(True).alias("prose"))
+def texts(blocks: DataFrame, cells: DataFrame, books: DataFrame | None = None) -> DataFrame:
+    """Uniform rows (item_source, item_id, text, page, titles, prose) of blocks and cells.
+
+    ``titles`` are those of the block's book, which are headers where they stand on a line of their own.
+    """
+    titles = F.lit(None).cast("array<string>")
+    if books is not None:
+        key = F.lower(F.trim("book_id"))
+        named = books.groupBy(key.alias("_book")).agg(F.collect_set("title").alias("_titles"))
+        blocks, titles = blocks.withColumn("_book", key).join(named, "_book", "left"), F.col("_titles")
+    b = blocks.select(F.lit("blocks").alias("item_source"), F.col("block_key").cast("string").alias("item_id"), "text", F.col("page_idx").cast("int").alias("page"), titles.alias("titles"), (~F.coalesce(F.col("block_type"), F.lit("")).isin("heading", "formula")).alias("prose"))
+    c = cells.select(F.lit("cell_meta").alias("item_source"), F.col("cell_id").cast("string").alias("item_id"), F.col("raw_value").alias("text"), F.lit(None).cast("int").alias("page"), F.lit(None).cast("array<string>").alias("titles"), F.lit(True).alias("prose"))
     return b.unionByName(c).where(F.col("item_id").isNotNull() & (F.col("text") != ""))
 
 
@@ -208,9 +225,9 @@ def word_counts(items: DataFrame) -> DataFrame:
         low: Counter = Counter()
         for b in batches:
             raw: Counter = Counter()
-            for t, page in zip(b["text"], b["page"]):
+            for t, page, titles in zip(b["text"], b["page"], b["titles"]):
                 if "\n" in t:
-                    t, _ = without_furniture(t, page)
+                    t, _ = without_furniture(t, page, titles)
                     broken = line_breaks(t)
                     total.update(("h", pair) for _, _, pair in broken)
                     t = blanked(t, broken)
@@ -228,7 +245,7 @@ def word_counts(items: DataFrame) -> DataFrame:
                 total, low = Counter(), Counter()
         yield _count_rows(total, low)
 
-    rows = items.where("prose").select("text", "page").mapInPandas(count, "kind string, token string, n long, n_lower long")
+    rows = items.where("prose").select("text", "page", "titles").mapInPandas(count, "kind string, token string, n long, n_lower long")
     return cut(rows.groupBy("kind", "token").agg(F.sum("n").alias("n"), F.sum("n_lower").alias("n_lower")), "words")
 
 
@@ -312,8 +329,8 @@ def marks(items: DataFrame, fixes: DataFrame) -> DataFrame:
         memo: dict[str, tuple] = {}
         for b in batches:
             out, pairs = [], Counter()
-            for source, item, h, text, page in zip(b["item_source"], b["item_id"], b["h"], b["text"], b["page"]):
-                text, lines = without_furniture(text, page)
+            for source, item, h, text, page, titles in zip(b["item_source"], b["item_id"], b["h"], b["text"], b["page"], b["titles"]):
+                text, lines = without_furniture(text, page, titles)
                 for s, e in lines:
                     out.append(("f", source, item, h, s, e, None, None, 0))
                 broken = line_breaks(text)
@@ -346,7 +363,7 @@ def marks(items: DataFrame, fixes: DataFrame) -> DataFrame:
             out += [("g", "", "", 0, 0, 0, x, y, n) for (x, y), n in pairs.items()]
             yield pd.DataFrame(out, columns=[c.split()[0] for c in MARKS.split(", ")])
 
-    return cut(items.where("prose").withColumn("h", F.xxhash64("text")).select("item_source", "item_id", "h", "text", "page").mapInPandas(mark, MARKS), "marks")
+    return cut(items.where("prose").withColumn("h", F.xxhash64("text")).select("item_source", "item_id", "h", "text", "page", "titles").mapInPandas(mark, MARKS), "marks")
 
 
 ITEM = ["item_source", "item_id", "h"]

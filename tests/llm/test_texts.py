@@ -141,6 +141,22 @@ def test_scan_repair(spark):
     assert out["cell_meta", "1"] == "$441,279.7" and out["cell_meta", "5"] == "Volatile market" and out["blocks", "503"] == "f0rward"
 
 
+def test_headers_in_mixed_case(spark):
+    titles = scans.folded_titles(["Lectures on Synthetic contract and demand", None, " "])
+    assert scans.furniture(" Lectures on synthetic contract and demand ", None, titles) and not scans.furniture("Lectures on synthetic contract", None, titles) and not scans.furniture(" ", None, titles)
+    assert scans.furniture_lines("the first\nLectures on Synthetic contract and demand\nline\nLectures on Synthetic contract and demand", None, titles) == [(10, 52)]
+    text = "the market of the re-\nLectures on Synthetic contract and demand\nader holds"
+    rows = [(1, text, "text", 3, " BK_A "), (2, text, "text", 3, "bk_b"), (3, text, "text", 3, None), (4, "Lectures on Synthetic contract and demand\nthe market", "text", 3, "bk_a")]
+    rows += [(10 + i, "the reader of the market holds", "text", 3, "bk_a") for i in range(9)]
+    blocks = spark.createDataFrame(rows, "block_key long, text string, block_type string, page_idx int, book_id string")
+    cells = spark.createDataFrame([(1, "12.5%")], "cell_id long, raw_value string")
+    books = spark.createDataFrame([("bk_a", "Lectures on Synthetic contract and demand"), ("bk_a", None), ("bk_a", "Lectures on Synthetic contract and demand"), ("bk_b", "Other")], "book_id string, title string")
+    items = scans.texts(blocks, cells, books)
+    assert items.count() == 14
+    assert {r.item_id for r in scans.noise(items).where("kind = 'f'").collect()} == {"1"}
+    assert {r.item_id: r.repaired for r in scans.repair(items).collect() if r.item_source == "blocks"}["1"] == "the market of the reader holds"
+
+
 def test_scan_repair_of_nothing(spark):
     blocks = spark.createDataFrame([], "block_key long, text string, block_type string, page_idx int")
     cells = spark.createDataFrame([], "cell_id long, raw_value string")
