@@ -51,7 +51,7 @@ SELECT e.doc_id, start_idx, level, subtree_end, CAST(b.upto - a.upto AS BIGINT)
 
 
 def candidate_pages(spark, d):
-    """Pages that hold or follow a question, a document."""
+    """Pages that hold or follow a question on each third page, a document; ``question_pages`` takes all."""
     b = book_blocks(spark, d).where("text like '%. Calculate%' and page_idx % 3 = 0")
     return visuals.candidate_pages(b).groupBy("doc_id").agg(F.count("*").alias("n_pages"))
 
@@ -59,6 +59,15 @@ def candidate_pages(spark, d):
 _PAGES = BOOK_SQL + ", c AS (SELECT doc_id, page_idx FROM book_blocks WHERE text LIKE '%. Calculate%' AND page_idx % 3 = 0) SELECT doc_id, count(*) AS n_pages FROM (SELECT * FROM c UNION SELECT doc_id, page_idx + 1 FROM c) GROUP BY 1"
 
 
+def question_pages(spark, d):
+    """Pages that hold or follow a question, a document."""
+    b = book_blocks(spark, d).where("text like '%. Calculate%'")
+    return visuals.candidate_pages(b).groupBy("doc_id").agg(F.count("*").alias("n_pages"))
+
+
+_QUESTION_PAGES = BOOK_SQL + ", c AS (SELECT doc_id, page_idx FROM book_blocks WHERE text LIKE '%. Calculate%') SELECT doc_id, count(*) AS n_pages FROM (SELECT * FROM c UNION SELECT doc_id, page_idx + 1 FROM c) GROUP BY 1"
+
+
 def page_zones(spark, d):
     """Block type with most weight of each page of real layouts."""
     b = table(spark, d, "blocks").select(F.col("layout_id").alias("doc_id"), "page_idx", F.col("block_type").alias("zone"), F.lit(1).alias("weight"))
@@ -110,9 +119,9 @@ _DESCRIBE = """SELECT DISTINCT segment_id, 'Table of ' || CASE WHEN regexp_match
 QUERIES = {
     f.__name__: f
     for f in (
-        formula_fragments, word_columns, drawing_groups, unclaimed_regions, filled_sections, candidate_pages, page_zones, formula_examples, derivation_targets, concept_term_roles, visual_concepts, table_descriptions,
+        formula_fragments, word_columns, drawing_groups, unclaimed_regions, filled_sections, candidate_pages, question_pages, page_zones, formula_examples, derivation_targets, concept_term_roles, visual_concepts, table_descriptions,
     )
 }
 SQL = {
-    "unclaimed_regions": _UNCLAIMED, "filled_sections": _FILLED, "candidate_pages": _PAGES, "page_zones": _ZONES, "formula_examples": _EXAMPLES, "derivation_targets": _TARGETS, "table_descriptions": _DESCRIBE,
+    "unclaimed_regions": _UNCLAIMED, "filled_sections": _FILLED, "candidate_pages": _PAGES, "question_pages": _QUESTION_PAGES, "page_zones": _ZONES, "formula_examples": _EXAMPLES, "derivation_targets": _TARGETS, "table_descriptions": _DESCRIBE,
 }

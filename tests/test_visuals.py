@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from quire.operators import layout, visuals
+from quire.plans import visuals as plans
 
 BLOCKS = "doc_id long, ord long, page_idx long, x0 double, y0 double, x1 double, y1 double, block_type string, text string"
 
@@ -32,6 +33,17 @@ def test_sections(spark):
     assert visuals.page_votes(hints).first().zone == "a"
 
 
+def test_question_pages(spark, tmp_path):
+    rows = [(1, p, 0, 0.0, 0.0, 1.0, 1.0, "text", "x") for p in (1, 2, 5, 5)] + [(2, 7, 0, 0.0, 0.0, 1.0, 1.0, "text", "x")]
+    got = visuals.candidate_pages(spark.createDataFrame([(d, i, p, *r) for i, (d, p, _, *r) in enumerate(rows)], BLOCKS)).collect()
+    assert sorted((r.doc_id, r.page_idx) for r in got) == [(1, 1), (1, 2), (1, 3), (1, 5), (1, 6), (2, 7), (2, 8)]
+    # four pages of twelve blocks, a question on each: every page counts, and the one after the last
+    lines = [(40 * i, 1, i, i, 1.0, 5.0) for i in range(48)]
+    names = "l_orderkey long, l_linenumber long, l_partkey long, l_suppkey long, l_extendedprice double, l_quantity double"
+    spark.createDataFrame(lines, names).write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert [(r.doc_id, r.n_pages) for r in plans.question_pages(spark, str(tmp_path)).collect()] == [(0, 5)]
+
+
 def test_fields(spark):
     a = spark.createDataFrame([("k", None, ""), ("z", "x", "y")], "k string, a string, b string")
     got = {r.k: (r.a, r.b) for r in visuals.backfill(a, spark.createDataFrame([("k", "1", "2")], "k string, a string, b string"), "k", ["a", "b"]).collect()}
