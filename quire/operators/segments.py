@@ -10,11 +10,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions import qa
+from quire.functions.formulas import equation_number
 from quire.functions.text import heading_level, stable_id, strip
 from quire.operators.folds import fold_groups
 
 #: Problem numbers after which a restart opens the next block of problems.
 MANY, FEW = 20, 2
+#: Characters of a block that no longer follows a question of full length, and of a bare number's question.
+LONG, NUMBER_MOST = 200, 2000
+#: Characters of a formula inside a concept check, and its distance below it.
+INLINE_CHARS, INLINE_GAP = 80, 120
 
 
 def _so_far(*keys: str):
@@ -101,29 +106,72 @@ def absorb(df: DataFrame, start: str, follow: list[str], pages: int = 1) -> Data
     return inside.groupBy("doc_id", F.col("_head").alias("ord")).agg(F.array_join(F.transform(parts, lambda p: p["text"]), "\n").alias("text"), F.count("*").alias("n_parts"), F.max("page_idx").alias("page_end"))
 
 
+def _continuation_columns(df: DataFrame) -> DataFrame:
+    """Columns that the fold over questions reads; ``kind`` is stop, question, text, formula or other."""
+    t, low = strip(F.col("text")), F.lower(strip(F.col("text")))
+    # what the layout calls a formula, table or image is data of a question, however much its text looks like a heading
+    data = F.col("block_type").isin("formula", "table", "image")
+    shell = F.col("section").isin("problem_set", "cfa") & F.col("segment_type").isNull() & ~data & (F.col("block_type") != "heading") & t.rlike(qa.NUMBER_ONLY)
+    kind = (
+        F.when((F.col("segment_type") == "question") | shell, "question")
+        .when(F.col("is_section_heading") | (F.col("block_type") == "heading") | F.col("segment_type").isin("worked_example", "solution"), "stop")
+        .when((F.col("segment_type") == "header") & ~data, "stop")
+        .when((F.col("block_type") == "formula") | (F.col("segment_type") == "calculation"), "formula")
+        .when(F.col("segment_type").isNull() | (F.col("segment_type") == "header"), "text")
+        .otherwise("other")
+    )
+    check = (F.col("section") == "concept_check") | low.rlike(r"^concept\s+check\s+\d+\.\d+")
+    numbered = (F.col("block_type") == "formula") & equation_number(t).isNotNull()
+    names = ["doc_id", "ord", "page_idx", *[c for c in ("x0", "y0", "x1", "y1") if c in df.columns]]
+    return df.select(*names, kind.alias("kind"), data.alias("data"), F.coalesce(check, F.lit(False)).alias("check"), numbered.alias("numbered"), F.coalesce(t, F.lit("")).alias("text"))
+
+
+def _inline(q, r) -> bool:
+    """A short formula without a number, close below the question on its page."""
+    box = [getattr(x, c, None) for x in (q, r) for c in ("x0", "y0", "x1", "y1")]
+    if r.numbered or len(r.text) > INLINE_CHARS or q.page_idx != r.page_idx or None in box:
+        return False
+    return not (r.x1 < q.x0 or r.x0 > q.x1) and 0 <= r.y0 - q.y1 <= INLINE_GAP
+
+
 def merge_questions(df: DataFrame, most: int = 1200) -> DataFrame:
     """Questions with their continuation blocks: an ordered fold bounded by length, page and cue.
 
-    A block continues a question if it has no type, is on the same or next page, and starts in lower case,
-    with a bracketed part, or is short; the text stays within ``most`` characters.
+    Texts, formulas and calculations on the same or next page continue a question until another question, a
+    heading, example, solution, section marker or heading-like line; blank blocks are passed over. Beyond
+    ``most`` characters only blocks of up to ``LONG`` follow. A bare number in a problem set opens a question
+    that takes all that follows until it has ``NUMBER_MOST`` characters; with a table header in the question,
+    table lines follow at any length. A concept check takes texts with a cue and inline formulas only.
     """
 
     def fold(rows: list) -> list[tuple]:
         out: list[list] = []
-        open_ = False
+        q, number, tabular = None, False, False
         for r in rows:
-            text = (r.text or "").strip()
-            if r.segment_type == "question":
-                out.append([r.doc_id, r.ord, r.page_idx, text, 1])
-                open_ = True
-            elif open_ and r.segment_type is None and text and r.page_idx <= out[-1][2] + 1 and len(out[-1][3]) + len(text) < most and (text[0].islower() or text[0] == "(" or len(text.split()) <= 40):
-                out[-1][3] += "\n" + text
-                out[-1][4] += 1
-            else:
-                open_ = False
-        return [tuple(o) for o in out]
-
-    return fold_groups(df.select("doc_id", "ord", "page_idx", "segment_type", "text"), ["doc_id"], ["ord"], fold, "doc_id long, ord long, page_idx long, text string, n_parts long")
+            text = r.text
+            if r.kind == "question":
+                q, number = r, qa.is_number_only(text)
+                tabular = number or qa.is_table_header(text)
+                out.append([r.doc_id, r.ord, r.page_idx, [text], len(text)])
+                continue
+            if q is None:
+                continue
+            if r.page_idx not in (q.page_idx, q.page_idx if q.page_idx is None else q.page_idx + 1) or r.kind == "stop":
+                q = None
+            elif text:
+                stop = qa.is_section_marker(text) or (not tabular and not r.data and qa.is_heading_line(text)) or r.kind == "other"
+                if q.check:
+                    stop = stop or not (qa.continues_question(text) if r.kind == "text" else _inline(q, r))
+                elif not number and not (tabular and qa.is_table_line(text)):
+                    stop = stop or (out[-1][4] > most and len(text) > LONG)
+                if not stop:
+                    out[-1][3].append(text)
+                    out[-1][4] += len(text)
+                if stop or (number and not q.check and out[-1][4] > NUMBER_MOST):
+                    q = None
+        return [(d, o, p, "\n".join(parts), len(parts)) for d, o, p, parts, _ in out]
+
+    return fold_groups(_continuation_columns(df), ["doc_id"], ["ord"], fold, "doc_id long, ord long, page_idx long, text string, n_parts long")
 
 
 def refine_derivations(df: DataFrame) -> DataFrame:

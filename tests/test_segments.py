@@ -59,6 +59,46 @@ def test_classification(spark):
     assert sorted((r.ord, r.part, r.text) for r in parts) == [(0, 0, "1. a"), (0, 1, "2. b"), (1, 0, "c")]
 
 
+def test_question_continuations(spark):
+    def merged(*rows, section="Problem Sets"):
+        b = blocks(spark, (0, "heading", section), *rows)
+        return {r.ord: (r.n_parts, r.text) for r in segments.merge_questions(segments.classify(b)).collect()}
+
+    long = "and " + "word " * 60 + "end."
+    data = merged((0, "text", "5. Calculate it"), (0, "formula", "r = a + 4 (1.1)"), (0, "table", "Year 1 Year 2"), (0, "text", None), (0, "text", long), (1, "text", "3, 4"), (2, "text", "too late"))
+    assert data[1] == (5, "\n".join(["5. Calculate it", "r = a + 4 (1.1)", "Year 1 Year 2", long, "3, 4"]))
+    # beyond 1,200 characters only short blocks follow
+    assert merged((0, "text", "5. Calculate it"), *[(0, "text", long)] * 5, (0, "text", "x = 4"), (0, "text", "so on"))[1][0] == 5
+    assert merged((0, "text", "5. Calculate it"), *[(0, "text", long)] * 4, (0, "text", "x in 4"), (0, "text", "so on"))[1][0] == 7
+    # a bare number takes what follows until it has more than 2,000 characters, a heading-like line too
+    assert merged((0, "text", "11."), (0, "text", "Some Title Here"), *[(0, "text", long)] * 9)[1][0] == 9
+    assert merged((0, "text", "11."), (0, "text", "one"), (0, "text", "12"), (0, "text", "two")) == {1: (2, "11.\none"), 3: (2, "12\ntwo")}
+    assert merged((0, "text", "11."), (0, "text", "one"), section="Summary") == {}
+    # lines of a table follow a table header at any length, other long blocks don't
+    lines = merged((0, "text", "5. Find the beta of each " + "stock " * 210), (0, "text", "Stock A 4 5"), (0, "text", "Market Return"), (0, "text", long))[1]
+    assert lines[0] == 3 and lines[1].endswith("Stock A 4 5\nMarket Return")
+    # section markers, headings and heading-like lines end a question
+    for kind, stop in [("text", "For Problems 5 to 8 use this"), ("heading", "a heading"), ("text", "Some Title Here"), ("text", "Solution to Question 3: it is 4")]:
+        assert merged((0, "text", "5. Calculate it"), (0, "text", "and so on"), (0, kind, stop), (0, "text", "more"))[1][0] == 2
+    assert merged((0, "text", "5. Calculate it"), (0, "table", "Some Title Here"))[1][0] == 2
+
+
+def test_continuations_of_concept_checks(spark):
+    def parts(*rows):
+        b = blocks(spark, (0, "heading", "Concept Check"), (0, "text", "Concept Check 9.5 what is it"), *rows)
+        return next(r.n_parts for r in segments.merge_questions(segments.classify(b)).collect() if r.ord == 1)
+
+    b = (0, "text", "suppose that " + "word " * 60)
+    assert parts((0, "text", "short prose"), b, (0, "text", "long " * 45)) == 3
+    assert parts((0, "text", "why? " + "long " * 45)) == 2
+    # blocks() lays blocks over each other, so no formula lies below the question
+    assert parts((0, "formula", "r = 4")) == 1
+    low = blocks(spark, (0, "heading", "Concept Check"), (0, "text", "Concept Check 9.5 what is it"), (0, "formula", "r = 4"), (0, "formula", "r = 5 (9.1)"))
+    low = low.withColumns({"y0": F.col("ord") * 40.0, "y1": F.col("ord") * 40.0 + 20})
+    assert [r.n_parts for r in segments.merge_questions(segments.classify(low)).collect()] == [2]
+    assert [r.n_parts for r in segments.merge_questions(segments.classify(low.withColumn("x0", F.col("ord") * 100.0).withColumn("x1", F.col("x0") + 10))).collect()] == [1]
+
+
 def test_chapters_and_pruning(spark):
     c = spark.createDataFrame([(1, "1"), (1, "3.2"), (1, "10"), (2, "2")], "doc_id long, number string")
     assert [(r.number, r.filled_in) for r in segments.chapter_gaps(c).where("doc_id = 1").orderBy("position").collect()] == [("1", False), ("3", True), ("3.1", True), ("3.2", False), ("10", False)]
