@@ -89,7 +89,9 @@ _GIVEN = BOOK_SQL + "SELECT doc_id, ord, regexp_extract(text, 'a = (\\d+,)', 1)
 def variable_definitions(spark, d):
     """Meanings of symbols stated in formula segments: the most frequent meaning of each symbol of a book and chapter."""
     s = graph.latest_nodes(table(spark, d, "segments")).where("segment_type = 'formula'")
-    rows = s.select("book_id", "chapter_number", F.explode(qa.definitions(F.col("text_content"))).alias("v")).groupBy("book_id", "chapter_number", "v.symbol", "v.meaning").agg(F.count("*").alias("n"))
+    # a formula that isn't given apart stands in the text before its definitions
+    formula = F.coalesce("formula_text_raw", F.regexp_replace("text_content", r"(?is)\b(?:where|here|with|in which)\b.*", ""))
+    rows = s.select("book_id", "chapter_number", F.explode(qa.formula_definitions(qa.definitions(F.col("text_content")), formula)).alias("v")).groupBy("book_id", "chapter_number", "v.symbol", "v.meaning").agg(F.count("*").alias("n"))
     return rows.groupBy("book_id", "chapter_number", "symbol").agg(F.max_by("meaning", F.struct("n", "meaning")).alias("meaning"), F.sum("n").alias("n_statements"))
 
 

@@ -44,6 +44,27 @@ def test_question_parts(spark):
     assert [r[0] for r in zones.select(qa.zones_fit(F.col("a"), F.col("b"))).collect()] == [False, True, True]
 
 
+def test_definitions(spark):
+    cases = [
+        ("E(r_M) = r_f + b", "here E(r_M) denotes the market return, with r_f = riskless rate of return; and b is the slope of it all", [("E(r_M)", "market return"), ("r_f", "riskless rate of return"), ("b", "slope of it all")]),
+        ("NPV = S - K", "Take it. S is the spot price. K is a strike price, S is the wrong price", [("S", "spot price"), ("K", "a strike price")]),
+        ("σ + T", "The volatility of returns, denoted by σ, and the time left, denoted by T.", [("σ", "volatility of returns"), ("T", "and the time left")]),
+        ("y = sigma_x", "where y is the cost and loading and sigma is the spread", [("y", "cost and loading")]),
+        ("σ = y", "with sigma is the spread of prices", [("sigma", "spread of prices")]),
+        # short meanings, refusals, units, no symbols, foreign symbols, names of functions
+        ("r = sqrt(Q)", "where r is the rate. Q is not provided here", []),
+        ("usd = r", "where usd is the currency, where r is the first rate, where r is the second rate", [("r", "first rate")]),
+        ("r = sqrt(Q)", "where X is the other thing, where s is the letter of a function, here this is another thing. It is long known", []),
+        ("r = 1", None, []),
+        (None, "where r is the first rate", []),
+    ]
+    df = spark.createDataFrame([(i, f, t) for i, (f, t, _) in enumerate(cases)], "i int, f string, t string")
+    got = [[(d.symbol, d.meaning) for d in x.v] for x in df.select("i", qa.formula_definitions(qa.definitions(F.col("t")), F.col("f")).alias("v")).orderBy("i").collect()]
+    assert got == [want for _, _, want in cases]
+    units = spark.createDataFrame([("r = 1", "where r is the interest rate (in percent), and so on")], "f string, t string")
+    assert [tuple(d) for d in units.select(qa.formula_definitions(qa.definitions(F.col("t")), F.col("f"))).first()[0]] == [("r", "interest rate", "percent")]
+
+
 def test_classification(spark):
     b = blocks(
         spark, (0, "heading", "Chapter 1: Yields"), (0, "text", "1. What is it?"), (0, "heading", "Problem Sets"), *[(0, "text", f"{i}. Calculate it") for i in (19, 20, 21)], (1, "text", "1. Find it"), (1, "text", "the rest"),
