@@ -145,7 +145,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, chapter ORDER BY score D
 
 
 def chapter_gaps(spark, d):
-    """Chapters of the books with gaps filled, in natural order."""
+    """Chapters of the books without each fifth heading, gaps filled, in natural order; ``filled_chapters`` takes all."""
     b = book_blocks(spark, d).where("block_type = 'heading' and ord % 5 <> 0")
     c = b.select("doc_id", F.regexp_extract("text", r"^(?:Chapter )?(\d+(?:\.\d+)?)", 1).alias("number")).where("number <> ''")
     return segments.chapter_gaps(c)
@@ -157,6 +157,19 @@ f AS (SELECT doc_id, p AS number FROM p UNION SELECT doc_id, p || '.' || unnest(
 SELECT a.doc_id, a.number, k.number IS NULL AS filled_in, row_number() OVER (PARTITION BY a.doc_id ORDER BY CAST(string_split(a.number, '.')[1] AS INTEGER), CAST(coalesce(string_split(a.number, '.')[2], '0') AS INTEGER)) AS position FROM a LEFT JOIN k ON k.doc_id = a.doc_id AND k.number = a.number"""
 
 
+def filled_chapters(spark, d):
+    """Chapters of the books with gaps filled, in natural order."""
+    b = book_blocks(spark, d).where("block_type = 'heading'")
+    c = b.select("doc_id", F.regexp_extract("text", r"^(?:Chapter )?(\d+(?:\.\d+)?)", 1).alias("number")).where("number <> ''")
+    return segments.chapter_gaps(c)
+
+
+_FILLED_CHAPTERS = BOOK_SQL + """, c AS (SELECT DISTINCT doc_id, coalesce(nullif(regexp_extract(text, '^Chapter (\\d+)', 1), ''), nullif(regexp_extract(text, '^(\\d+\\.\\d+)', 1), '')) AS number FROM book_blocks WHERE block_type = 'heading'),
+k AS (SELECT * FROM c WHERE number IS NOT NULL), p AS (SELECT doc_id, string_split(number, '.')[1] AS p, max(CAST(string_split(number, '.')[2] AS INTEGER)) AS k FROM k WHERE contains(number, '.') GROUP BY 1, 2),
+f AS (SELECT doc_id, p AS number FROM p UNION SELECT doc_id, p || '.' || unnest(range(1, k + 1)) FROM p), a AS (SELECT * FROM k UNION SELECT * FROM f)
+SELECT a.doc_id, a.number, k.number IS NULL AS filled_in, row_number() OVER (PARTITION BY a.doc_id ORDER BY CAST(string_split(a.number, '.')[1] AS INTEGER), CAST(coalesce(string_split(a.number, '.')[2], '0') AS INTEGER)) AS position FROM a LEFT JOIN k ON k.doc_id = a.doc_id AND k.number = a.number"""
+
+
 def chapter_symbols(spark, d):
     """Most used symbols of each chapter of the books."""
     from quire.functions import formulas as X
@@ -274,11 +287,11 @@ _SPECIAL = BOOK_SQL + f"SELECT block_type, count(*) AS n_blocks, min(ord) AS fir
 QUERIES = {
     f.__name__: f
     for f in (
-        segment_kinds, derivation_scores, question_types, given_values, variable_definitions, worked_examples, merged_questions, pruned_segments, unlinked_solutions, chapter_state, chapter_gaps, chapter_symbols, table_checks,
+        segment_kinds, derivation_scores, question_types, given_values, variable_definitions, worked_examples, merged_questions, pruned_segments, unlinked_solutions, chapter_state, chapter_gaps, filled_chapters, chapter_symbols, table_checks,
         captions_near, region_conflicts, page_gaps, reference_stubs, contents_alignment, word_medians, book_lookup, enrichment_status, main_body, special_terms,
     )
 }
 SQL = {
-    "segment_kinds": _KINDS, "derivation_scores": _SCORES, "given_values": _GIVEN, "worked_examples": _ABSORB, "pruned_segments": _PRUNED, "chapter_symbols": _SYMBOL_SCORES, "unlinked_solutions": _UNLINKED, "chapter_state": _STATE, "chapter_gaps": _GAPS, "table_checks": _CHECKS,
+    "segment_kinds": _KINDS, "derivation_scores": _SCORES, "given_values": _GIVEN, "worked_examples": _ABSORB, "pruned_segments": _PRUNED, "chapter_symbols": _SYMBOL_SCORES, "unlinked_solutions": _UNLINKED, "chapter_state": _STATE, "chapter_gaps": _GAPS, "filled_chapters": _FILLED_CHAPTERS, "table_checks": _CHECKS,
     "captions_near": _NEAR, "region_conflicts": _CONFLICT, "page_gaps": _PAGE_GAPS, "word_medians": _MEDIANS, "book_lookup": _LOOKUP, "enrichment_status": _ENRICH, "main_body": _MAIN, "special_terms": _SPECIAL,
 }

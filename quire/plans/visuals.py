@@ -11,7 +11,7 @@ from quire.session import table
 
 def formula_fragments(spark, d):
     """Formula fragments merged a page."""
-    b = book_blocks(spark, d).where("block_type in ('formula', 'text')").where("ord % 12 in (4, 5, 11)")
+    b = book_blocks(spark, d).where("block_type in ('formula', 'text')")
     return visuals.merge_fragments(b, gap=60.0, side=25.0)
 
 

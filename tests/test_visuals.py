@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 
 from quire.operators import layout, visuals
+from quire.plans import segments as segment_plans
 from quire.plans import visuals as plans
+from quire.plans.books import book_blocks
 
 BLOCKS = "doc_id long, ord long, page_idx long, x0 double, y0 double, x1 double, y1 double, block_type string, text string"
 
@@ -44,6 +46,18 @@ def test_question_pages(spark, tmp_path):
     assert [(r.doc_id, r.n_pages) for r in plans.question_pages(spark, str(tmp_path)).collect()] == [(0, 5)]
 
 
+def test_all_fragments_and_chapters(spark, tmp_path):
+    lines = [(40 * i, 1, i, i, 1.0, 5.0) for i in range(72)]
+    names = "l_orderkey long, l_linenumber long, l_partkey long, l_suppkey long, l_extendedprice double, l_quantity double"
+    spark.createDataFrame(lines, names).write.parquet(f"{tmp_path}/lineitem.parquet")
+    texts = book_blocks(spark, str(tmp_path)).where("block_type in ('formula', 'text')").count()
+    got = plans.formula_fragments(spark, str(tmp_path)).collect()
+    assert sum(r.n_merged for r in got) == texts == 48
+    # pages 1 to 6 are headed Chapter 1, 1.2 to 1.5 and Chapter 2; only 1.1 is missing
+    rows = segment_plans.filled_chapters(spark, str(tmp_path)).orderBy("position").collect()
+    assert [(r.number, r.filled_in) for r in rows] == [("1", False), ("1.1", True), ("1.2", False), ("1.3", False), ("1.4", False), ("1.5", False), ("2", False)]
+
+
 def test_fields(spark):
     a = spark.createDataFrame([("k", None, ""), ("z", "x", "y")], "k string, a string, b string")
     got = {r.k: (r.a, r.b) for r in visuals.backfill(a, spark.createDataFrame([("k", "1", "2")], "k string, a string, b string"), "k", ["a", "b"]).collect()}
