@@ -28,8 +28,8 @@ BLOCK = 1500
 #: Deviations below the usual ratio from which a text is redundant.
 REDUNDANT = -1.5
 #: Share of words in sentences under which a text is no prose. Some words of any prose stand outside
-#: sentences (headings, labels, broken lines), so the bound lies below half.
-SENTENCES = 0.4
+#: sentences (headings, labels, broken lines); compression tells such texts apart.
+SENTENCES = 0.5
 #: Share of words in sentences from which a text tells what is usual.
 PROSE = 0.5
 #: Words that a sentence has at least.

@@ -95,6 +95,18 @@ def test_spam(spark):
     assert spam.spam_pages(df.limit(0), "doc_id", "text", "lang").count() == 0
 
 
+def test_half_spam(spark):
+    # 45 % of the words stand in sentences, the others in repeated keywords
+    rng = random.Random(6)
+    keywords = "buy cheap calculator online " * 55
+    prose = _prose(rng, 8)
+    assert 0.4 < spam.sentence_share(prose + "\n" + keywords)[0] < 0.5
+    rows = [(i, _prose(rng, rng.randrange(3, 30)), "en") for i in range(300)]
+    rows += [(1000, prose + "\n" + keywords, "en"), (1001, prose + "\n" + " ".join(f"{rng.choice(VOCAB)}{rng.randrange(10**6)}" for _ in range(220)), "en"), (1002, _prose(rng, 16) + "\n" + keywords, "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.doc_id for r in spam.spam_pages(df, "doc_id", "text", "lang").where("is_spam").collect()} == {1000}
+
+
 def test_sentence_share():
     assert spam.sentence_share("a b c") == (0.0, 3) and spam.sentence_share("...") == (1.0, 0)
     assert spam.sentence_share("This is one whole sentence with enough words.")[0] == 1.0
