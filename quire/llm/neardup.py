@@ -4,8 +4,9 @@ Records with equal n-gram sets form one class; only classes are compared. Bands
 are shuffled; a row carries the class and a sketch of one-bit minima, so most chance collisions end
 in the join itself. Surviving pairs are verified on all n-grams of both classes.
 
-Bands and rows are chosen for the threshold 0.7: a pair with that similarity is found with
-probability 0.97, one with 0.75 with 0.997 and one with 0.8 with more than 0.9999.
+Bands, rows and sketch are chosen for the threshold 0.7. A pair must share a band and agree in the sketch: one
+with that similarity is found with probability 0.982, one with 0.72 with 0.993, one with 0.75 with 0.9986 and
+one with 0.8 with 0.9999; so not all pairs near the threshold are found.
 
 Defined results: a null text and a text with fewer than ``least`` distinct n-grams match nothing;
 an id that comes with several texts matches by any of them; an id never matches itself; repeated
@@ -25,9 +26,9 @@ from pyspark.sql import functions as F
 from quire.llm.words import WordHash, mix, words_of
 from quire.session import cut
 
-BANDS, ROWS = 40, 7
-#: One-bit minima carried with each band row, and how many must agree (0.7: 99.7 % of pairs do).
-SKETCH, AGREE = 24, 16
+BANDS, ROWS = 48, 7
+#: One-bit minima carried with each band row, and how many must agree (0.7: 99.8 % of pairs do).
+SKETCH, AGREE = 24, 15
 THRESHOLD = 0.7
 LEAST = 12
 _SLICE = 20_000

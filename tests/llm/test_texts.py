@@ -107,6 +107,16 @@ def test_half_spam(spark):
     assert {r.doc_id for r in spam.spam_pages(df, "doc_id", "text", "lang").where("is_spam").collect()} == {1000}
 
 
+def test_found_share_of_pairs():
+    from math import comb
+
+    def share(s):
+        agree = sum(comb(neardup.SKETCH, k) * ((1 + s) / 2) ** k * ((1 - s) / 2) ** (neardup.SKETCH - k) for k in range(neardup.AGREE, neardup.SKETCH + 1))
+        return agree * (1 - (1 - s**neardup.ROWS) ** neardup.BANDS)
+
+    assert share(0.7) > 0.98 and share(0.72) > 0.99 and share(0.75) > 0.998 and share(0.8) > 0.9999
+
+
 def test_sentence_share():
     assert spam.sentence_share("a b c") == (0.0, 3) and spam.sentence_share("...") == (1.0, 0)
     assert spam.sentence_share("This is one whole sentence with enough words.")[0] == 1.0
