@@ -53,6 +53,11 @@ EDGE = ".,;:?!()[]{}\"'“”‘’«»•*$%†‡" + HYPHENS
 WORDLIKE = re.compile(r"[@¢|(]?[^\W_]+(?:[@¢|(]+[^\W_]+)*[@¢|(]?")
 PLAIN = re.compile(r"[^\W\d_]+")
 NUMERIC = re.compile(rf"[0-9{''.join(MISREAD)}]+(?:[.,  ][0-9{''.join(MISREAD)}]+)*")
+_BLANKS = " \u00a0\u2009\u202f"
+_DIGITS = "0-9" + "".join(MISREAD)
+#: A number in groups; each group of three has a true digit, and so has the first or it is no word by itself.
+GROUPED = re.compile(rf"(?<![^\W_])(?<![\d.,][{_BLANKS}])(?=[{_DIGITS}]*\d|[{_DIGITS}]{{1,3}}[\u00a0\u2009\u202f])[{_DIGITS}]{{1,3}}(?:[{_BLANKS}](?=[{_DIGITS}]{{0,2}}\d)[{_DIGITS}]{{3}}(?![^\W_]))+(?:[.,][{_DIGITS}]+(?![^\W_]))?")
+MISREAD_SIGN = re.compile(f"[{''.join(MISREAD)}]")
 FORMULA = re.compile(r"[_^\\={}*/+]")
 
 PAGE = re.compile(r"(?:p|pp|s|pág|page|seite|página|blatt)\.?\s*\d{1,4}", re.I)
@@ -151,6 +156,11 @@ def number_cores(token: str) -> list[tuple[int, str]]:
     return [(m.start(), core)] if misread_number(core) else []
 
 
+def grouped_numbers(text: str) -> list[tuple[int, str]]:
+    """Numbers whose groups of three stand between blanks and hold a misread digit: (offset, number)."""
+    return [(m.start(), m[0]) for m in GROUPED.finditer(text) if sum(c.isdigit() for c in m[0]) >= 2 and MISREAD_SIGN.search(m[0])]
+
+
 def deletes(word: str, most: int = DELETES) -> set[str]:
     """The word and all it can become by deleting up to ``most`` characters."""
     out = {word}
@@ -328,7 +338,7 @@ def marks(items: DataFrame, fixes: DataFrame) -> DataFrame:
         noisy, choice = shared.value or (None, None)
         memo: dict[str, tuple] = {}
         for b in batches:
-            out, pairs = [], Counter()
+            out, grouped, pairs = [], [], Counter()
             for source, item, h, text, page, titles in zip(b["item_source"], b["item_id"], b["h"], b["text"], b["page"], b["titles"]):
                 text, lines = without_furniture(text, page, titles)
                 for s, e in lines:
@@ -336,6 +346,8 @@ def marks(items: DataFrame, fixes: DataFrame) -> DataFrame:
                 broken = line_breaks(text)
                 out += [("h", source, item, h, s, e, pair, None, 0) for s, e, pair in broken]
                 clean = blanked(text, broken)
+                whole = grouped_numbers(clean) if source == "cell_meta" else []
+                grouped += [("n", source, item, h, o, o + len(c), c, None, 0) for o, c in whole]
                 at, before = 0, ""
                 for token in clean.split():
                     known = memo.get(token)
@@ -359,7 +371,8 @@ def marks(items: DataFrame, fixes: DataFrame) -> DataFrame:
                         before = low
                     if numbers:
                         at = clean.index(token, at)
-                        out += [("n", source, item, h, at + o, at + o + len(c), c, None, 0) for o, c in numbers]
+                        out += [("n", source, item, h, at + o, at + o + len(c), c, None, 0) for o, c in numbers if not any(s <= at + o < s + len(w) for s, w in whole)]
+            out += grouped
             out += [("g", "", "", 0, 0, 0, x, y, n) for (x, y), n in pairs.items()]
             yield pd.DataFrame(out, columns=[c.split()[0] for c in MARKS.split(", ")])
 

@@ -179,6 +179,15 @@ def test_headers_in_mixed_case(spark):
     assert {r.item_id: r.repaired for r in scans.repair(items).collect() if r.item_source == "blocks"}["1"] == "the market of the reader holds"
 
 
+def test_numbers_in_groups(spark):
+    assert scans.grouped_numbers("$Z2\u00a0985\u00a0210 *") == [(1, "Z2\u00a0985\u00a0210")] and scans.grouped_numbers("1l3 321.5 bbl") == [(0, "1l3 321.5")]
+    assert not any(scans.grouped_numbers(x) for x in ["354 bbl", "1 234", "Bob 123", "I 985", "12 boll", "2,354 bbl", "text"])
+    blocks = spark.createDataFrame([], "block_key long, text string, block_type string, page_idx int")
+    cells = spark.createDataFrame([(1, "$Z2\u00a0985\u00a0210 *"), (2, "$23 I98"), (3, "1 234")], "cell_id long, raw_value string")
+    out = {r.item_id: (r.n_repairs, r.repaired) for r in scans.repair(scans.texts(blocks, cells)).collect()}
+    assert out == {"1": (1, "$22\u00a0985\u00a0210 *"), "2": (1, "$23 198"), "3": (0, "1 234")}
+
+
 def test_scan_repair_of_nothing(spark):
     blocks = spark.createDataFrame([], "block_key long, text string, block_type string, page_idx int")
     cells = spark.createDataFrame([], "cell_id long, raw_value string")
