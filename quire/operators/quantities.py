@@ -3,11 +3,13 @@
 A cell's unit may stand in its text, its ``units`` field, its column header, or, for money, in a
 caption or footnote. The statements complete each other: the first place that names the unit gives
 it, the first that names a scale gives the scale. Which headers are money columns is learned from
-all cells that name a unit themselves.
+all cells that name a unit themselves. Every unit is an exponent vector with factor and offset
+(:mod:`quire.functions.units`); each cell is parsed once.
 
 Defined results: a null, blank or placeholder text, a rating, date, formula or unit-less number gives
 no row; a null or short ``col_headers`` counts as no header; repeated cells give equal rows once;
-a quantity whose catalogue entry is missing gives no row; empty tables give an empty result.
+a unit whose dimension the catalogue lacks gives no row; a catalogue row that can't be read raises
+ValueError; empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -18,91 +20,64 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.units import DIMENSION, Stated, money_note, parse_quantity, parse_unit, split_header
+from quire.functions.units import UnitSystem
+from quire.operators.skew import hot_keys, salted_join
+from quire.session import cut
 
 #: Rows that a unit catalogue may have; it goes to every task.
 MOST_UNITS = 10_000
-PARSED = "cell_id bigint, name string, raw_value string, units string, header string, note string, stored double, number double, quantity string"
+PARSED = "cell_id bigint, name string, quantity string, unit_name string, common_value double, common_unit string, stored_value double, assumed boolean"
 
 
-def _catalogue(rows: list) -> dict[str, tuple[str, float, float, str]]:
-    """unit name -> (quantity, factor, offset, common unit); a catalogue is a fixed small table."""
+def catalogue_rows(unit_catalogue: DataFrame) -> list[tuple]:
+    """(quantity, unit_name, factor, offset, common_unit) of a catalogue, which is a small table.
+
+    The catalogue may have a column ``offset_to_common``; rows without a name are none.
+    """
+    offset = F.col("offset_to_common").cast("double") if "offset_to_common" in unit_catalogue.columns else F.lit(None).cast("double")
+    named = unit_catalogue.where(F.col("unit_name").isNotNull()).select("quantity", "unit_name", F.col("factor_to_common").cast("double"), offset, "common_unit")
+    rows = [tuple(r) for r in named.limit(MOST_UNITS + 1).collect()]
     if len(rows) > MOST_UNITS:
         raise ValueError("the unit catalogue must be a small table")
-    return {r["unit_name"]: (r["quantity"], r["factor_to_common"], 0.0, r["common_unit"]) for r in rows if r["unit_name"] is not None}
-
-
-def _own(raw: str | None, units: str | None, header: str | None) -> tuple[float, list[Stated], str] | None:
-    parsed = parse_quantity(raw)
-    if parsed is None:
-        return None
-    name, in_header = split_header(header)
-    return parsed[0], [s for s in (parsed[1], parse_unit(units), in_header) if s], name
+    return rows
 
 
-def _parse(catalogue: dict):
+def _parse(catalogue: list[tuple]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system = UnitSystem(catalogue)
         for b in batches:
             out = []
             for cell, raw, units, header, notes, stored in zip(b["cell_id"], b["raw_value"], b["units"], b["header"], b["notes"], b["stored"]):
-                own = _own(raw, units, header)
-                if own is None:
-                    continue
-                number, stated, name = own
-                unit = next((s.unit for s in stated if s.unit), None)
-                note = next((t for t in (notes if notes is not None else []) if t and money_note(t)), None)
-                out.append((cell, name, raw, units, header, note, stored, number, catalogue[unit][0] if unit in catalogue else None))
+                q = system.quantity(raw, units, header, notes)
+                if q is not None:
+                    out.append((cell, q.column, q.quantity, q.unit, q.value, q.common_unit, stored, q.assumed))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in PARSED.split(", ")])
 
     return run
 
 
-def _convert(catalogue: dict):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = []
-            for cell, raw, units, header, note, stored, number, learned in zip(b["cell_id"], b["raw_value"], b["units"], b["header"], b["note"], b["stored"], b["number"], b["learned"]):
-                stated = _own(raw, units, header)[1]
-                unit = next((s.unit for s in stated if s.unit), None)
-                if note is not None and (learned == "money" or unit == "US dollar"):
-                    stated.append(money_note(note))
-                if unit is None:
-                    unit = next((s.unit for s in stated if s.unit), "US dollar" if learned == "money" and stated else None)
-                if unit is None and (compound := next((s.compound for s in stated if s.compound), None)):
-                    common = next((c for q, _, _, c in catalogue.values() if q == compound.quantity), None)
-                    if common:
-                        out.append((cell, compound.quantity, None, compound.common(number), common, stored))
-                    continue
-                if unit not in catalogue:
-                    continue
-                quantity, factor, offset, common = catalogue[unit]
-                scale = next((s.scale for s in stated if s.scale), None) if unit == "US dollar" else next((s.scale for s in stated if s.scale and s.unit == unit), None)
-                out.append((cell, quantity, unit, (scale or 1.0) * number * factor + offset, common, stored))
-            yield pd.DataFrame(out, columns=["cell_id", "quantity", "unit_name", "common_value", "common_unit", "stored_value"])
-
-    return run
-
-
 def common_units(cells: DataFrame, tables: DataFrame, unit_catalogue: DataFrame) -> DataFrame:
     """One row a quantity cell: its value in the common unit and the stored value."""
-    catalogue = _catalogue(unit_catalogue.select("quantity", "unit_name", "factor_to_common", "common_unit").limit(MOST_UNITS + 1).collect())
-    unknown = {q for q, *_ in catalogue.values()} - set(DIMENSION)
-    if unknown:
-        raise ValueError(f"quantities without a dimension: {sorted(unknown)}")
+    catalogue = catalogue_rows(unit_catalogue)
+    UnitSystem(catalogue)  # what can't be read is told before any task runs
     heads = tables.select("segment_id", "col_headers", F.concat(F.array("caption"), F.coalesce("footnotes", F.array().cast("array<string>"))).alias("notes")).where(F.col("segment_id").isNotNull())
     heads = heads.groupBy("segment_id").agg(F.max(F.struct("col_headers", "notes")).alias("h")).select("segment_id", "h.*")
+    numbers = cells.where((F.col("col_index") > 0) & F.col("raw_value").rlike("[0-9]"))
+    counts = numbers.groupBy("segment_id").agg(F.count("*").alias("n"))
+    hot, _ = hot_keys(counts, "segment_id", "n", numbers.count())
     rows = (
-        cells.where((F.col("col_index") > 0) & F.col("raw_value").rlike("[0-9]"))
-        .select("cell_id", "segment_id", "col_index", "raw_value", "units", F.col("normalized_value").cast("double").alias("stored"))
-        .distinct()
-        .join(heads, "segment_id", "left")
-        .select("cell_id", "raw_value", "units", F.get("col_headers", F.col("col_index")).alias("header"), "notes", "stored")
+        salted_join(numbers.select("cell_id", "segment_id", "col_index", "raw_value", "units", F.col("normalized_value").cast("double").alias("stored")), heads, ["segment_id"], hot, "segment_id", F.col("cell_id"), "left")
+        .select("segment_id", "cell_id", "raw_value", "units", F.get("col_headers", F.col("col_index")).alias("header"), "notes", "stored")
+        .dropDuplicates(["segment_id", "cell_id", "raw_value", "units", "header", "stored"])
     )
-    parsed = rows.mapInPandas(_parse(catalogue), PARSED)
-    kinds = parsed.where(F.col("quantity").isNotNull() & (F.col("name") != "")).groupBy("name", "quantity").agg(F.count("*").alias("n"))
-    learned = kinds.groupBy("name").agg(F.max_by("quantity", F.struct("n", "quantity")).alias("learned"))
-    out = "cell_id bigint, quantity string, unit_name string, common_value double, common_unit string, stored_value double"
-    return parsed.drop("quantity").join(learned, "name", "left").mapInPandas(_convert(catalogue), out)
+    parsed = cut(rows.select("cell_id", "raw_value", "units", "header", "notes", "stored").mapInPandas(_parse(catalogue), PARSED), "quantities")
+    # a number without a unit is money where most cells of columns of that name are
+    kinds = parsed.where(~F.col("assumed") & (F.col("name") != "")).groupBy("name", "quantity").agg(F.count("*").alias("n"))
+    learned = kinds.groupBy("name").agg(F.max_by("quantity", F.struct("n", "quantity")).alias("learned")).where(F.col("learned") == "money").select("name")
+    open_ = parsed.where("assumed")
+    hot, _ = hot_keys(open_.groupBy("name").agg(F.count("*").alias("n")), "name", "n", open_.count())
+    money = salted_join(open_, learned, ["name"], hot, "name", F.col("cell_id"))
+    return parsed.where(~F.col("assumed")).unionByName(money).select("cell_id", "quantity", "unit_name", "common_value", "common_unit", "stored_value")
 
 
 def disagreeing(converted: DataFrame, tolerance: float = 0.005) -> DataFrame:

@@ -26,15 +26,15 @@ def hot_keys(counts: DataFrame, key: str, n: str, total: int) -> tuple[DataFrame
     return hot.select(key, F.ceil(F.col("_n") / F.lit(share)).cast("int").alias("_salts")), share
 
 
-def salted_join(many: DataFrame, few: DataFrame, on: list[str], hot: DataFrame | None, key: str, spread: Column) -> DataFrame:
-    """Inner join of ``many`` with ``few`` on ``on``; rows of a hot key go to several tasks.
+def salted_join(many: DataFrame, few: DataFrame, on: list[str], hot: DataFrame | None, key: str, spread: Column, how: str = "inner") -> DataFrame:
+    """Inner or left join of ``many`` with ``few`` on ``on``; rows of a hot key go to several tasks.
 
     ``hot`` (from :func:`hot_keys`) is bounded and broadcast. Rows of ``many`` get a salt from
     ``spread``, rows of ``few`` are repeated once a salt; all other keys keep the salt 0.
     """
     if hot is None:
-        return many.join(few, on)
+        return many.join(few, on, how)
     hot = F.broadcast(hot)
     left = many.join(hot, key, "left").withColumn("_salt", F.when(F.col("_salts").isNotNull(), F.pmod(F.xxhash64(spread), F.col("_salts"))).otherwise(0).cast("int")).drop("_salts")
     right = few.join(hot, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))).drop("_salts")
-    return left.join(right, [*on, "_salt"]).drop("_salt")
+    return left.join(right, [*on, "_salt"], how).drop("_salt")

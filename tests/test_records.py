@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quire.functions.units import parse_number, parse_quantity, parse_unit, split_header
+from quire.functions.units import Unit, UnitSystem, parse_number
 from quire.operators import orphans, quantities, skew
 from quire.operators.skew import salted_join
 
@@ -81,38 +81,74 @@ def test_numbers(text, value):
     assert parse_number(text) == pytest.approx(value)
 
 
+CATALOGUE = [
+    ("money", "US dollar", 1.0, None, "US dollar"), ("money", "US cent", 0.01, None, "US dollar"), ("money", "million US dollars", 1e6, None, "US dollar"), ("rate", "decimal fraction", 1.0, None, "decimal fraction"),
+    ("rate", "percent", 0.01, None, "decimal fraction"), ("rate", "basis point", 1e-4, None, "decimal fraction"), ("rate", "per mille", 1e-3, None, "decimal fraction"), ("duration", "year", 1.0, None, "year"), ("mass", "kilogram", 1.0, None, "kilogram"),
+    ("volume", "barrel", 1.0, None, "barrel"), ("energy", "megawatt hour", 1.0, None, "megawatt hour"), ("energy", "kilowatt hour", 1e-3, None, "megawatt hour"),
+]
+UNITS = UnitSystem(CATALOGUE)
+
+
+def _common(text, system=UNITS):
+    unit = system.parse_unit(text).unit
+    return unit.common(1.0, system.quantities[unit.dims][1])
+
+
 @pytest.mark.parametrize("text, value, scale, unit", [
     ("-$29.81m", -29.81, 1e6, "US dollar"), ("US$ 46,86 MM", 46.86, 1e6, "US dollar"), ("(1.748)  ", -1.748, None, None), ("29.41‰", 29.41, None, "per mille"), ("137.5 b.p.", 137.5, None, "basis point"),
     ("1,443 bbl*", 1443, None, "barrel"), ("40 thousand bbl", 40, 1e3, "barrel"), ("5 US cents†", 5, None, "US cent"), ("2 kilowatt-hours", 2, None, "kilowatt hour"), ("3 oz t", 3, None, "troy ounce"),
-    ("−USD 0.0763 bn.", -0.0763, 1e9, "US dollar"), ("1g.13 tonnes", 19.13, None, "metric tonne"), ("0.7 as a fraction", 0.7, None, "decimal fraction"), ("1-2", None, None, None),
+    ("−USD 0.0763 bn.", -0.0763, 1e9, "US dollar"), ("1g.13 tonnes", 19.13, None, "metric tonne"), ("0.7 as a fraction", 0.7, None, "decimal fraction"), ("1-2", None, None, None), ("7 kUSD", 7, 1e3, "US dollar"), ("$7 USD", 7, None, "US dollar"),
 ])
 def test_quantities_parse(text, value, scale, unit):
-    got = parse_quantity(text)
+    got = UNITS.parse_quantity(text)
     if value is None:
         assert got is None
     else:
         assert got[0] == pytest.approx(value)
-        assert (got[1].scale, got[1].unit) == (scale, unit) if unit or scale else got[1] is None
+        assert (got[1].scale, got[1].unit and got[1].unit.name) == (scale, unit) if unit or scale else got[1] is None
 
 
 @pytest.mark.parametrize("text", [None, "", "n/a", "BBB", "B", "=SUM(B1:B9)", "3/4/2024", "–", "Belmiria Minerals", "12 apples"])
 def test_no_quantities(text):
-    assert parse_quantity(text) is None
+    assert UNITS.parse_quantity(text) is None
+
 
+def test_units_are_exponent_vectors():
+    kwh = UNITS.parse_unit("kW h").unit
+    assert kwh.dims == UNITS.parse_unit("MWh").unit.dims == (0, 1, 2, -2, 0, 0) and UNITS.quantities[kwh.dims][0] == "energy" and kwh.common(5, UNITS.quantities[kwh.dims][1]) == pytest.approx(0.005)
+    assert _common("metres^3") == pytest.approx(1 / 0.158987294928) and UNITS.parse_unit("MWh per year / year^-1").unit.dims == kwh.dims
+    assert _common("hours") == pytest.approx(1 / 24 / 365) and UNITS.parse_unit("dollars per barrel") is None and UNITS.parse_unit("kg/kg") is None
+    assert UNITS.parse_quantity("12 kW h") == (12.0, UNITS.parse_unit("kW h")) and UNITS.parse_quantity("3 apples per day") is None
+    assert {u: pytest.approx(_common(u)) for u in ("lbs", "ozt", "gal", "GWh", "kJ", "‰", "¢", "quarters", "mths", "weeks", "tonnes")} == {"lbs": 0.45359237, "ozt": 0.0311034768, "gal": 1 / 42, "GWh": 1e3, "kJ": 1 / 3.6e6, "‰": 1e-3, "¢": 0.01, "quarters": 0.25, "mths": 1 / 12, "weeks": 7 / 365, "tonnes": 1e3}
 
-def test_compound_units_are_exponent_vectors():
-    kwh = parse_unit("kW h").compound
-    assert kwh.dims == (0, 1, 2, -2) and kwh.quantity == "energy" and kwh.common(5) == pytest.approx(0.005)
-    assert parse_unit("metres^3").compound.common(0.158987294928) == pytest.approx(1) and parse_unit("MWh per year / year^-1").compound.quantity == "energy"
-    assert parse_unit("hours").compound.common(24 * 365) == pytest.approx(1) and parse_unit("dollars per barrel") is None and parse_unit("kg/kg") is None
-    assert parse_quantity("12 kW h") == (12.0, parse_unit("kW h")) and parse_quantity("3 apples per day") is None
+
+def test_units_with_offsets():
+    celsius = UnitSystem([("temperature", "degree Celsius", 1.0, None, "degree Celsius"), ("temperature", "degree Fahrenheit", 5 / 9, None, "degree Celsius"), ("temperature", "kelvin", 1.0, -273.15, "degree Celsius")])
+    values = [celsius.quantity(*x, None, None) for x in (("212 °F", None), ("-40", "deg F"), ("300", "kelvin"), ("5", "°C"))]
+    assert [q.value for q in values] == [pytest.approx(x) for x in (100.0, -40.0, 26.85, 5.0)] and {q.common_unit for q in values} == {"degree Celsius"}
+    # an offset of the catalogue holds, and none is left in a product
+    delisle = UnitSystem([("temperature", "kelvin", 1.0, 0.0, "kelvin"), ("temperature", "delisle", -2 / 3, 373.15, "kelvin")])
+    assert delisle.quantity("60 delisle", None, None, None).value == pytest.approx(333.15)
+    assert UNITS._product(["°f", "/", "day"])[1].offset == 0.0 and Unit((0,), 2.0, 3.0).scaled(10).common(1, Unit((0,))) == 23.0
+
+
+def test_names_that_only_the_catalogue_knows():
+    own = UnitSystem([("volume", "barrel", 1.0, None, "barrel"), ("volume", "hogshead", 1.5, None, "barrel"), ("dose", "Sievert", 1.0, None, "Sievert"), ("dose", "banana", 1e-7, None, "Sievert")])
+    assert own.quantity("4 hogsheads", None, None, None).value == 6.0 and own.quantity("2", "thousand bananas", None, None).value == pytest.approx(2e-4)
+    assert own.parse_unit("banana hogshead") is None and own.parse_unit("gal") is not None
+    for bad in (("volume", "12", 1.0, None, "barrel"), ("volume", None, 1.0, None, "barrel"), ("volume", "gallon", None, None, "barrel"), ("volume", "kilogram", 1.0, None, "barrel"), ("volume", "thousand barrels", 7.0, None, "barrel")):
+        with pytest.raises(ValueError):
+            UnitSystem([bad])
+    # the catalogue's factor holds for every spelling of a known unit
+    odd = UnitSystem([("volume", "barrel", 1.0, None, "barrel"), ("volume", "US gallon", 1 / 40, None, "barrel")])
+    assert odd.quantity("80 gal", None, None, None).value == pytest.approx(2.0)
 
 
 def test_headers_and_units():
-    assert split_header("Face value ($ millions)") == ("face value", parse_unit("$ millions"))
-    assert split_header("Yield in % p.a.")[1].unit == "percent"
-    assert split_header("Sharpe ratio") == ("sharpe ratio", None) and split_header(None) == ("", None)
-    assert parse_unit("-") is None and parse_unit(None) is None
+    assert UNITS.split_header("Face value ($ millions)") == ("face value", UNITS.parse_unit("$ millions"))
+    assert UNITS.split_header("Yield in % p.a.")[1].unit.name == "percent"
+    assert UNITS.split_header("Sharpe ratio") == ("sharpe ratio", None) and UNITS.split_header(None) == ("", None)
+    assert UNITS.parse_unit("-") is None and UNITS.parse_unit(None) is None and UNITS.parse_unit("$000").scale == 1e3
 
 
 def _tables(spark, cells, heads):
@@ -138,6 +174,17 @@ def test_statements_complete_each_other(spark):
     assert {r.cell_id for r in quantities.disagreeing(out).collect()} == {4, 8, 10}
 
 
+def test_quantities_with_hot_tables_and_names(spark, monkeypatch):
+    monkeypatch.setattr(skew, "FAIR_SHARE", 20)
+    cells = [(i, "t", 1, "$2" if i % 3 else "2", None if i % 2 else "thousands", None, "x") for i in range(200)] + [(900, "u", 1, "3 pct", None, None, "x"), (901, None, 1, "3 pct", None, None, "x")]
+    c, t, u = _tables(spark, cells, [("t", None, ["", "Cash"], None, None)])
+    got = {r.cell_id: r.common_value for r in quantities.common_units(c, t, u).collect()}
+    assert got == {i: 2e3 if i % 2 == 0 else 2.0 for i in range(200) if i % 3 or i % 2 == 0} | {900: pytest.approx(0.03), 901: pytest.approx(0.03)}
+    c, t, u = _tables(spark, cells, [])
+    offset = u.withColumn("offset_to_common", F.when(F.col("unit_name") == "percent", 1.0))
+    assert quantities.common_units(c, t, offset).where("cell_id = 900").first().common_value == pytest.approx(1.03)
+
+
 def test_quantities_of_empty_tables(spark):
     c, t, u = _tables(spark, [], [])
     assert quantities.common_units(c, t, u).count() == 0
