@@ -61,7 +61,9 @@ TOKEN = re.compile(r"'000|000\b|us\$|[$¢%‰]|°\s?[a-z]\b|(?<=[a-z])\^-?\d|(?<
 DIGIT = "0-9" + "".join(MISREAD)
 NUMBER = re.compile(rf"[{DIGIT}.,](?:[{DIGIT}.,]|[ \u00a0\u2009\u202f](?=(?=\D{{0,2}}\d)[{DIGIT}]{{3}}(?![^\W_])))*")
 DATE = re.compile(r"\d{1,4}[/.-]\d{1,2}[/.-]\d{1,4}$")
-NOTES = re.compile(r"[\s*†‡§]+$")
+NOTES = "*†‡§ \t\r\n\x0b\x0c\u00a0\u2009\u202f"
+CELL = re.compile(rf"(?:([-−–+])\s*)?((?:US\s?\$|USD|US|\$|€|£)?)\s*(?:([-−–])\s*)?({NUMBER.pattern})")
+HAS_DIGIT = re.compile(r"\d")
 TRANSLATE = str.maketrans(MISREAD)
 MONEY_NOTE = re.compile(r"(?:amounts?|figures|columns?)\b[^.()]*?\b(thousand|million|billion)s?\b|\bin\s+(thousand|million|billion)s?\s+of\s+dollars", re.I)
 #: Texts whose reading a system keeps; it forgets all when there are more.
@@ -283,24 +285,18 @@ class UnitSystem:
         """
         if not raw or raw.lstrip().startswith("="):
             return None
-        text = NOTES.sub("", raw).strip()
-        if DATE.match(text):
-            return None
+        text = raw.rstrip(NOTES).strip()
         sign = 1.0
-        if text.startswith("(") and text.endswith(")"):
+        if text[:1] == "(" and text[-1:] == ")":
             sign, text = -1.0, text[1:-1].strip()
-        m = re.match(r"[-−–+]\s*", text)
-        if m:
-            sign, text = (sign if text[0] == "+" else -sign), text[m.end() :]
-        m = re.match(r"(?:US\s?\$|USD|US|\$|€|£)?\s*", text)
-        before, rest = m[0].strip(), text[m.end() :]
-        m = re.match(r"[-−–]\s*", rest)
-        if m:
-            sign, rest = -sign, rest[m.end() :]
-        m = NUMBER.match(rest)
-        if not m or not re.search(r"\d", m[0]):
+        m = CELL.match(text)
+        if not m or not HAS_DIGIT.search(m[4]) or DATE.match(raw.rstrip(NOTES).strip()):
             return None
-        value, after = parse_number(m[0]), rest[m.end() :].strip()
+        if m[1] and m[1] != "+":
+            sign = -sign
+        if m[3]:
+            sign = -sign
+        before, value, after = m[2], parse_number(m[4]), text[m.end() :].strip()
         if value is None:
             return None
         stated = self.parse_unit(f"{before} {after}".strip())
@@ -357,6 +353,8 @@ class UnitSystem:
 def parse_number(body: str) -> float | None:
     """Digits with thousands and decimal marks; a single comma before three final digits groups thousands."""
     body = re.sub(r"[\s   ]", "", body.translate(TRANSLATE)).rstrip(".,")
+    if "," not in body and body.replace(".", "", 1).isdigit():
+        return float(body)
     commas, points = body.count(","), body.count(".")
     if commas and points:
         mark = max(body.rfind(","), body.rfind("."))
