@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.session import partitions
@@ -12,6 +12,11 @@ from quire.session import partitions
 FAIR_SHARE = 20_000
 
 
+def fair_share(spark: SparkSession, total: int) -> int:
+    """Rows of one key that a task takes without salting; at most ``4 * partitions`` keys have more."""
+    return max(FAIR_SHARE, total // (4 * partitions(spark)))
+
+
 def hot_keys(counts: DataFrame, key: str, n: str, total: int) -> tuple[DataFrame | None, int]:
     """Keys with more rows than a fair share of a task, and the number of rows that share is.
 
@@ -19,7 +24,7 @@ def hot_keys(counts: DataFrame, key: str, n: str, total: int) -> tuple[DataFrame
     ``4 * partitions`` keys can exceed the share, so the result may always be broadcast. Where all
     rows together are no more than the share there are none (None).
     """
-    share = max(FAIR_SHARE, total // (4 * partitions(counts.sparkSession)))
+    share = fair_share(counts.sparkSession, total)
     if total <= share:
         return None, share
     hot = counts.groupBy(key).agg(F.sum(n).alias("_n")).where(F.col("_n") > share)
