@@ -144,3 +144,29 @@ def test_groups_with_hot_vertices_and_clusters(spark, monkeypatch):
     pairs = groups.matched_pairs(spark.createDataFrame(raw, "source_id string, target_id string"), "source_id", "target_id")
     got = {r.node_id: r.group_id for r in groups.connected_groups(pairs).collect()}
     assert got == _components(raw)
+
+
+def test_growth_takes_the_first_centre():
+    # a path 0..9 with one early start at 0: all join it but the last, whose own start is before
+    a, b = np.arange(9), np.arange(1, 10)
+    at = np.zeros(10)
+    at[0], at[9] = -20.0, -12.0
+    got, centre = groups.grown(a, b, at, np.arange(10))
+    assert centre.tolist() == [0] * 9 + [9] and got.tolist() == [-20.0 + i for i in range(9)] + [-12.0]
+
+
+@pytest.mark.parametrize("block", [500_000, 1_500])
+def test_groups_of_a_long_path(spark, monkeypatch, block):
+    monkeypatch.setattr(groups, "BLOCK_EDGES", block)
+    rng = random.Random(4)
+    names = [f"n{i:05}" for i in range(5001)]
+    rng.shuffle(names)
+    raw = list(zip(names, names[1:])) + [("hub", f"s{i:04}") for i in range(1500)] + [("s0003", "other")]
+    rng.shuffle(raw)
+    pairs = groups.matched_pairs(spark.createDataFrame(raw, "source_id string, target_id string"), "source_id", "target_id")
+    sizes = []
+    out = groups.connected_groups(pairs, sizes)
+    assert {r.node_id: r.group_id for r in out.collect()} == _components(raw)
+    # clusters grow as far as the shifts let them: a level cuts half of RATE of the path
+    assert sizes[0] == len(raw) and 0.25 * groups.RATE < sizes[1] / 5000 < groups.RATE and len(sizes) < 8
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange") < 30
