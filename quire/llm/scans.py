@@ -5,6 +5,9 @@ beside a much more frequent word, or hold a sign no word has, get candidates fro
 index over the lexicon (both sides emit their deletes, an equi-join finds the pairs). A weighted edit
 distance in which known confusions are cheap keeps likely repairs; where several remain, the counts
 of the preceding word with each of them decide. A second pass marks what is noisy, a third rewrites.
+Deletes are made of the first ``PREFIX`` characters of a word only, which finds the same pairs with a bounded
+number of rows; whole words are weighed. Which tokens a text should be marked for is told by a
+Bloom filter in pages; what it passes wrongly falls out in the join with the repairs.
 
 Defined results: null and empty texts are not noisy and stay as they are; repeated rows give one
 result; a heading or formula block is no case; an unknown hyphenated pair is a compound if both halves
@@ -16,7 +19,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -39,16 +42,16 @@ CONFUSED, MOST_COST = 0.3, 0.65
 TIMES = 25
 #: Occurrences that make a word part of the lexicon.
 LEAST = 5
-#: Deletes that either side of the index makes.
-DELETES = 2
-#: Noisy tokens and ambiguous words go to every task up to this number; beyond, occurrences are joined.
-BROADCAST_WORDS = 400_000
+#: Deletes that either side of the index makes, and the first characters of a word that it makes them of.
+DELETES, PREFIX = 2, 12
+#: A token as short as this has so many neighbours that a repair needs the word before it as a witness.
+SHORT = 2
+#: Words of a page of the Bloom filter, bits of a page, and bits that a word sets: of other words 1 in 200 passes.
+PAGE_WORDS, PAGE_BITS, WORD_BITS = 40_000, 1 << 19, 4
 
 HYPHENS = "-\xad‐¬"
 BREAK = re.compile(rf"([{HYPHENS}])[ \t]*\r?\n\s*([^\W\d_]+)")
 HALF = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)*$")
-#: Longest first half of a cut word.
-HALF_CHARS = 80
 EDGE = ".,;:?!()[]{}\"'“”‘’«»•*$%†‡" + HYPHENS
 WORDLIKE = re.compile(r"[@¢|(]?[^\W_]+(?:[@¢|(]+[^\W_]+)*[@¢|(]?")
 PLAIN = re.compile(r"[^\W\d_]+")
@@ -63,18 +66,20 @@ FORMULA = re.compile(r"[_^\\={}*/+]")
 PAGE = re.compile(r"(?:p|pp|s|pág|page|seite|página|blatt)\.?\s*\d{1,4}", re.I)
 BARE = re.compile(r"\d{1,4}")
 DRESSED = re.compile(r"(?:[-–—~*·]+|\[|\(|\|)\s*\d{1,4}\s*(?:[-–—~*·]+|\]|\)|\|)")
-BARRED = re.compile(r"[^|]{0,80}\S\s+\|\s+\d{1,4}|\d{1,4}\s+\|\s+\S[^|]{0,80}")
+BARRED = re.compile(r"[^|]*\S\s+\|\s+\d{1,4}|\d{1,4}\s+\|\s+\S[^|]*")
 TITLED = re.compile(r"\d{1,4}\s{2,}\S.*|\S.*\S\s{2,}\d{1,4}|[^\W\d_]+ \d{1,3}\s{2,}\S.*")
-TITLE_CHARS = 100
 _LAST = frozenset("0123456789-–—~*·])|")
 
 
-def furniture(line: str, page: int | None, titles: frozenset[str] = frozenset()) -> bool:
-    """Whether a line is a running header or a page number; ``titles`` of the book are case-folded."""
+def furniture(line: str, page: int | None, titles: frozenset[str] = frozenset(), width: int | None = None) -> bool:
+    """Whether a line is a running header or a page number; ``titles`` of the book are case-folded.
+
+    A header is set on one line of the page, so it is at most twice as long as the longest other line (``width``).
+    """
     x = line.strip()
     if titles and x.casefold() in titles:
         return True
-    if not x or len(x) > TITLE_CHARS:
+    if not x or width is not None and len(x) > 2 * width:
         return False
     # what no pattern below can match is told by its ends, so most lines cost no regular expression
     if x.isupper():
@@ -102,8 +107,9 @@ def furniture_lines(text: str, page: int | None, titles: frozenset[str] = frozen
         first += 1
     while last > first and not lines[last].strip():
         last -= 1
+    longest = sorted(((len(x.strip()), i) for i, x in enumerate(lines)), reverse=True)[:2]
     for i, x in enumerate(lines):
-        if first < i < last and furniture(x, page, titles):
+        if first < i < last and furniture(x, page, titles, longest[longest[0][1] == i][0]):
             out.append((at, at + len(x) + 1))
         at += len(x) + 1
     return out
@@ -161,8 +167,9 @@ def grouped_numbers(text: str) -> list[tuple[int, str]]:
     return [(m.start(), m[0]) for m in GROUPED.finditer(text) if sum(c.isdigit() for c in m[0]) >= 2 and MISREAD_SIGN.search(m[0])]
 
 
-def deletes(word: str, most: int = DELETES) -> set[str]:
-    """The word and all it can become by deleting up to ``most`` characters."""
+def deletes(word: str, most: int = DELETES, prefix: int = PREFIX) -> set[str]:
+    """The first characters of a word and all they can become by deleting up to ``most`` of them."""
+    word = word[:prefix]
     out = {word}
     for k in range(1, min(most, len(word) - 1) + 1):
         for gone in combinations(range(len(word)), k):
@@ -199,7 +206,9 @@ def line_breaks(text: str) -> list[tuple[int, int, str]]:
     out = []
     if "\n" in text:
         for m in BREAK.finditer(text):
-            left = HALF.search(text[max(0, m.start() - HALF_CHARS) : m.start()])
+            back = 64
+            while (left := HALF.search(text[max(0, m.start() - back) : m.start()])) and left.start() == 0 and back < m.start():
+                back *= 4  # the half may begin before what was looked at
             if left:
                 out.append((m.start() - len(left[0]), m.end(), f"{left[0].lower()}{m[1]}{m[2].lower()}"))
     return out
@@ -297,7 +306,7 @@ def _delete_rows(df: DataFrame) -> DataFrame:
 
 def repairs(counts: DataFrame) -> DataFrame:
     """(token, word, cost, n): likely printed words of each noisy token."""
-    w = counts.where((F.col("kind") == "w") & F.col("token").rlike(r"^.{3,40}$"))
+    w = counts.where((F.col("kind") == "w") & (F.char_length("token") > 1))
     plain = F.col("token").rlike(r"^\p{L}+$")
     lexicon = w.where(plain & (F.col("n_lower") >= LEAST))
     # a bracket before or after a word of the lexicon is punctuation, no misread letter
@@ -308,6 +317,7 @@ def repairs(counts: DataFrame) -> DataFrame:
     rare = w.where(plain & (F.col("n_lower") > 0) & (F.col("n") * TIMES <= top))
     left = _delete_rows(odd.unionByName(rare)).withColumnsRenamed({"token": "seen", "n": "n_seen"})
     pairs = left.join(_delete_rows(lexicon).withColumnRenamed("token", "word"), "d").where("seen <> word")
+    pairs = pairs.where(F.abs(F.char_length("seen") - F.char_length("word")) <= DELETES)
     pairs = pairs.where((~F.col("seen").rlike(r"^\p{L}+$")) | (F.col("n_seen") * TIMES <= F.col("n"))).select("seen", "word", "n").distinct()
 
     def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -318,6 +328,46 @@ def repairs(counts: DataFrame) -> DataFrame:
     return cut(pairs.mapInPandas(weigh, "token string, word string, cost double, n long"), "repairs")
 
 
+class WordFilter:
+    """Words that may be in a set: all of the set and one in 200 of the others."""
+
+    def __init__(self, pages: list[bytes]):
+        self.pages = pages
+
+    @staticmethod
+    def bits(word: str) -> tuple[int, list[int]]:
+        """Hash of the word (the same as ``xxhash64`` of Spark) and its bits in a page."""
+        data = word.encode("utf-8", "surrogatepass")
+        h = xxhash.xxh3_64_intdigest(data)
+        return xxhash.xxh64_intdigest(data, seed=42), [(h >> (16 * j)) % PAGE_BITS ^ (h >> 45) % PAGE_BITS * j % PAGE_BITS for j in range(WORD_BITS)]
+
+    def __contains__(self, word: str) -> bool:
+        if not self.pages:
+            return False
+        h, bits = self.bits(word)
+        page = self.pages[(h - (1 << 64) if h >> 63 else h) % len(self.pages)]
+        return all(page[i >> 3] >> (i & 7) & 1 for i in bits)
+
+
+def filter_pages(words: DataFrame) -> list[bytes]:
+    """Pages of a :class:`WordFilter` of the distinct ``token`` of ``words``: some 13 bits a word go to the driver."""
+    pages = -(-words.count() // PAGE_WORDS)
+    if not pages:
+        return []
+
+    def page(b: pd.DataFrame) -> pd.DataFrame:
+        at = np.array([x for w in b["token"] for x in WordFilter.bits(w)[1]], np.int64)
+        bits = np.zeros(PAGE_BITS, np.uint8)
+        bits[at] = 1
+        return pd.DataFrame({"part": b["part"].iloc[:1], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
+
+    rows = words.select("token", F.pmod(F.xxhash64("token"), F.lit(pages)).cast("int").alias("part")).groupBy("part").applyInPandas(page, "part int, bits binary")
+    out = [bytes(PAGE_BITS // 8)] * pages
+    for r in rows.toLocalIterator():
+        out[r["part"]] = bytes(r["bits"])
+    return out
+
+
 MARKS = "kind string, item_source string, item_id string, h long, start int, stop int, a string, b string, n long"
 
 
@@ -328,14 +378,11 @@ def marks(items: DataFrame, fixes: DataFrame) -> DataFrame:
     of a pair of words.
     """
     sc = items.sparkSession.sparkContext
-    several = fixes.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
-    words = fixes.join(several, "token", "left_semi").select("word").distinct()
-    tokens = fixes.select("token").distinct()
-    small = tokens.count() <= BROADCAST_WORDS and words.count() <= BROADCAST_WORDS
-    shared = sc.broadcast((frozenset(r[0] for r in tokens.toLocalIterator()), frozenset(r[0] for r in words.toLocalIterator())) if small else None)
+    several = fixes.groupBy("token").agg(F.count("*").alias("c")).where((F.col("c") > 1) | (F.char_length("token") <= SHORT)).select("token")
+    noisy_, choice_ = (sc.broadcast(filter_pages(x)) for x in (fixes.select("token").distinct(), fixes.join(several, "token", "left_semi").select(F.col("word").alias("token")).distinct()))
 
     def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        noisy, choice = shared.value or (None, None)
+        noisy, choice = WordFilter(noisy_.value), WordFilter(choice_.value)
         memo: dict[str, tuple] = {}
         for b in batches:
             out, grouped, pairs = [], [], Counter()
@@ -356,17 +403,17 @@ def marks(items: DataFrame, fixes: DataFrame) -> DataFrame:
                             memo.clear()
                         words_ = [(o, p.lower(), len(p)) for o, p in cores(token)]
                         numbers = number_cores(token)
-                        plain = not numbers and noisy is not None and not any(w in noisy or w in choice for _, w, _ in words_)
+                        plain = not numbers and not any(w in noisy or w in choice for _, w, _ in words_)
                         known = memo[token] = (plain, words_[-1][1] if words_ else "", words_, numbers)
                     plain, last, words_, numbers = known
                     if plain:
                         before = last or before
                         continue
                     for o, low, size in words_:
-                        if noisy is None or low in noisy:
+                        if low in noisy:
                             at = clean.index(token, at)
                             out.append(("w", source, item, h, at + o, at + o + size, low, before, 0))
-                        if before and (choice is None or low in choice):
+                        if before and low in choice:
                             pairs[before, low] += 1
                         before = low
                     if numbers:
@@ -397,7 +444,7 @@ def noise(items: DataFrame) -> DataFrame:
     seen = found.where("kind = 'w'").select(F.col("a").alias("token"), "b").distinct()
     score: Column = F.log(F.col("n")) - 8 * F.col("cost") + 2 * F.log1p(F.coalesce("together", F.lit(0)))
     best = Window.partitionBy("token", "b").orderBy(F.desc("score"), F.desc("n"), "word")
-    chosen = seen.join(fixes, "token").join(pairs, ["b", "word"], "left").withColumn("score", score).withColumn("rank", F.row_number().over(best)).where("rank = 1").select(F.col("token").alias("a"), "b", F.col("word").alias("fix"))
+    chosen = seen.join(fixes, "token").join(pairs, ["b", "word"], "left").where((F.char_length("token") > SHORT) | F.col("together").isNotNull()).withColumn("score", score).withColumn("rank", F.row_number().over(best)).where("rank = 1").select(F.col("token").alias("a"), "b", F.col("word").alias("fix"))
     words = found.where("kind = 'w'").join(chosen, ["a", "b"]).select("kind", *place, "fix")
     return furniture_.unionByName(numbers).unionByName(joined).unionByName(words)
 

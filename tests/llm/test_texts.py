@@ -188,6 +188,43 @@ def test_numbers_in_groups(spark):
     assert out == {"1": (1, "$22\u00a0985\u00a0210 *"), "2": (1, "$23 198"), "3": (0, "1 234")}
 
 
+def test_deletes_of_prefixes_find_the_same_pairs():
+    rng = random.Random(3)
+    for _ in range(2000):
+        word = "".join(rng.choice("abcrnm") for _ in range(rng.randrange(9, 20)))
+        seen = list(word)
+        for _ in range(2):
+            i = rng.randrange(len(seen))
+            seen[i : i + 1] = [seen[i], rng.choice("xyz")] if rng.random() < 0.3 else [] if rng.random() < 0.4 else [rng.choice("xyz")]
+        assert scans.deletes(word) & scans.deletes("".join(seen))
+    assert max(len(scans.deletes("abcdefghijklmnopqrstuvwxyz" * 100)), 0) == 1 + 12 + 66
+
+
+def test_long_and_short_tokens(spark):
+    word = "hyper" * 12 + "x"
+    plain = ["the value of the market is in the index of a bond " + word] * 40
+    rows = [(i, t, "text", 6) for i, t in enumerate(plain)] + [(500, "value of the " + word.replace("p", "ρ", 1)[:-1] + "x", "text", 1), (501, "the " + word[:30].replace("e", "¢", 1) + word[30:] + " holds", "text", 1), (502, "value 0f the market", "text", 1), (503, "Zzz 0f it", "text", 1), (504, "an " + "q" * 5000 + "-\n" + "w" * 5000 + " end", "text", 1)]
+    blocks = spark.createDataFrame(rows, "block_key long, text string, block_type string, page_idx int")
+    cells = spark.createDataFrame([], "cell_id long, raw_value string")
+    found = {r.item_id: r.fix for r in scans.noise(scans.texts(blocks, cells)).collect()}
+    assert found == {"501": word, "502": "of", "504": "q" * 5000 + "w" * 5000}
+
+
+def test_long_headers():
+    assert scans.furniture("12  " + "a title " * 30, None) and not scans.furniture("12  " + "a title " * 30, None, width=60) and scans.furniture("12  A title of it", None, width=60)
+    assert [len(p) for _, _, p in scans.line_breaks("a " + "b" * 300 + "-\nc")] == [302]
+
+
+def test_word_filter(spark, monkeypatch):
+    monkeypatch.setattr(scans, "PAGE_WORDS", 100)
+    words = [f"wörd{i}" for i in range(1000)]
+    pages = scans.filter_pages(spark.createDataFrame([(w,) for w in words], "token string"))
+    assert len(pages) == 10
+    f = scans.WordFilter(pages)
+    assert all(w in f for w in words) and sum(f"x{i}" in f for i in range(5000)) < 50
+    assert scans.filter_pages(spark.createDataFrame([], "token string")) == [] and "a" not in scans.WordFilter([])
+
+
 def test_scan_repair_of_nothing(spark):
     blocks = spark.createDataFrame([], "block_key long, text string, block_type string, page_idx int")
     cells = spark.createDataFrame([], "cell_id long, raw_value string")
