@@ -5,11 +5,15 @@ MinHash containment search over sets of one size class: items and documents are
 the same size equals their Jaccard similarity, so a window that both texts share has the same minimum
 in both with certainty, and one minimum a window suffices; equal minima of consecutive windows are
 kept once, about one in five. Longer items and documents only have more such windows: length does
-not lower the chance of a hit. Every candidate is verified on the exact words of the window.
+not lower the chance of a hit. The signature of an item is the set of its minima; the share of them that a
+document has estimates how much of the item it contains. Every candidate is verified exactly: the
+words before and after the shingle are compared, and the windows of the item that the document holds give
+the exact containment.
 
 Defined results: null texts and texts with fewer than ``run`` words leak nothing; case, punctuation
-and white space do not matter; repeated rows give one result row; empty tables give an empty result;
-other columns are ignored.
+and white space do not matter; repeated rows give one result row; an item that comes with several texts
+leaks by any of them, and its containment is the largest; empty tables give an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,90 +31,157 @@ from quire.session import cut
 
 RUN = 13
 SHINGLE = 5
-#: The items go to every task while their texts have at most so many characters; else both sides are shuffled.
-BROADCAST_CHARS = 16_000_000
+#: Bytes of items that may be sent to every task; beyond, both sides are shuffled on their minima.
+BROADCAST_BYTES = 64_000_000
+#: What a character of an item adds to what is sent at most: a word of one character and a blank are 8 bytes of
+#: hash and at most one index entry of 8 bytes of minimum and 8 of position.
+CHAR_BYTES = 12
 
 
-def window_minima(hashes: np.ndarray, run: int = RUN, shingle: int = SHINGLE) -> np.ndarray:
-    """The MinHash minimum of each window of ``run`` words."""
-    return sliding_min(shingle_hashes(hashes, shingle), run - shingle + 1)
+def word_hashes(text: str | None, cache: WordHash) -> np.ndarray:
+    ws = words_of(text)
+    return np.fromiter(map(cache.__getitem__, ws), np.uint64, len(ws))
 
 
-def _minima(texts, cache: WordHash, run: int) -> Iterator[tuple[list[str], np.ndarray]]:
-    for t in texts:
-        ws = words_of(t)
-        if len(ws) < run:
-            yield ws, np.zeros(0, np.uint64)
-        else:
-            yield ws, window_minima(np.fromiter(map(cache.__getitem__, ws), np.uint64, len(ws)), run)
+def minima(words: np.ndarray, run: int = RUN) -> tuple[np.ndarray, np.ndarray]:
+    """Shingle hashes of a text and the MinHash minimum of each of its windows of ``run`` words."""
+    if len(words) < run:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    h = shingle_hashes(words, SHINGLE)
+    return h, sliding_min(h, run - SHINGLE + 1)
+
+
+def places(h: np.ndarray, low: np.ndarray, windows: np.ndarray, run: int = RUN) -> np.ndarray:
+    """Distinct positions of the last shingle that is the minimum of each of ``windows``."""
+    at, least = windows.astype(np.int64), low[windows]
+    for j in range(run - SHINGLE + 1):
+        here = windows + j
+        at = np.where(h[here] == least, here, at)
+    return np.unique(at)
+
+
+def shared_run(a: np.ndarray, i: int, b: np.ndarray, j: int) -> tuple[int, int]:
+    """Bounds in ``b`` of the longest run of equal words around ``a[i]`` and ``b[j]``."""
+    back = min(i, j)
+    x, y = a[i - back : i][::-1], b[j - back : j][::-1]
+    left = int(np.argmax(x != y)) if (x != y).any() else back
+    on = min(len(a) - i, len(b) - j)
+    x, y = a[i : i + on], b[j : j + on]
+    right = int(np.argmax(x != y)) if (x != y).any() else on
+    return j - left, j + right
 
 
-def _local(documents: DataFrame, items: list, doc: str, item: str, run: int, schema: str) -> DataFrame:
+class ItemIndex:
+    """Word hashes of all items, and the place of every minimum in them."""
+
+    def __init__(self, items: list[tuple], run: int):
+        cache = WordHash()
+        self.run, self.keys = run, [k for k, _ in items]
+        self.words = [word_hashes(t, cache) for _, t in items]
+        lows, owner, at = [], [], []
+        for n, words in enumerate(self.words):
+            h, low = minima(words, run)
+            p = places(h, low, np.arange(len(low)), run)
+            lows.append(h[p])
+            owner.append(np.full(len(p), n, np.int32))
+            at.append(p.astype(np.int32))
+        if lows:
+            self.lows, self.owner, self.at = np.concatenate(lows), np.concatenate(owner), np.concatenate(at)
+            order = np.argsort(self.lows, kind="stable")
+            self.lows, self.owner, self.at = self.lows[order], self.owner[order], self.at[order]
+        else:
+            self.lows = np.zeros(0, np.uint64)
+
+    def search(self, words: np.ndarray) -> dict:
+        """Item -> share of its windows that a document with these words holds."""
+        h, low = minima(words, self.run)
+        if not len(low) or not len(self.lows):
+            return {}
+        first = np.searchsorted(self.lows, low)
+        hits = np.flatnonzero(self.lows[np.minimum(first, len(self.lows) - 1)] == low)
+        held: dict[int, set] = {}
+        for p in places(h, low, hits, self.run).tolist():
+            lo, hi = np.searchsorted(self.lows, h[p], "left"), np.searchsorted(self.lows, h[p], "right")
+            for n, q in zip(self.owner[lo:hi].tolist(), self.at[lo:hi].tolist()):
+                start, stop = shared_run(words, p, self.words[n], q)
+                if stop - start >= self.run:
+                    held.setdefault(n, set()).update(range(start, stop - self.run + 1))
+        out: dict = {}
+        for n, windows in held.items():
+            k = self.keys[n]
+            out[k] = max(out.get(k, 0.0), len(windows) / (len(self.words[n]) - self.run + 1))
+        return out
+
+
+def _local(documents: DataFrame, items: list, doc: str, run: int, schema: str) -> DataFrame:
     """Search with the index of all items in every task."""
-    windows: dict[str, list] = {}
-    minima = []
-    for (k, t), (ws, low) in zip(items, _minima([t for _, t in items], WordHash(), run)):
-        minima.append(low)
-        for i in range(len(low)):
-            windows.setdefault(" ".join(ws[i : i + run]), []).append(k)
-    index = documents.sparkSession.sparkContext.broadcast((np.unique(np.concatenate(minima)) if minima else np.zeros(0, np.uint64), windows))
+    shared = documents.sparkSession.sparkContext.broadcast(ItemIndex(items, run))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, exact = index.value
-        cache = WordHash()
+        index, cache = shared.value, WordHash()
         for b in batches:
-            docs, found = [], []
-            if len(known):
-                for k, (ws, low) in zip(b[doc], _minima(b["_text"], cache, run)):
-                    at = np.searchsorted(known, low)
-                    hits = np.flatnonzero(known[np.minimum(at, len(known) - 1)] == low)
-                    leaked = {x for i in hits.tolist() for x in exact.get(" ".join(ws[i : i + run]), ())}
-                    docs += [k] * len(leaked)
-                    found += leaked
-            yield pd.DataFrame({doc: pd.Series(docs, dtype=object), item: pd.Series(found, dtype=object)})
+            rows = [(d, k, share) for d, t in zip(b[doc], b["_text"]) for k, share in index.search(word_hashes(t, cache)).items()]
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
 
     return documents.mapInPandas(search, schema)
 
 
 def _minima_rows(df: DataFrame, key: str, run: int) -> DataFrame:
+    """(key, low, n, at, before, after): each minimum with the words around it, as far as a window reaches, and the text's windows."""
+    reach = run - SHINGLE
+
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache = WordHash()
         for b in batches:
-            lows = [np.unique(low) for _, low in _minima(b["_text"], cache, run)]
-            yield pd.DataFrame({key: np.repeat(b[key].to_numpy(), [len(x) for x in lows]), "low": np.concatenate(lows or [np.zeros(0, np.uint64)]).view(np.int64)})
-
-    return df.mapInPandas(emit, f"{key} {dict(df.dtypes)[key]}, low long")
-
-
-def _shuffled(documents: DataFrame, items: DataFrame, doc: str, item: str, run: int, schema: str) -> DataFrame:
-    """Search with both sides shuffled on their minima, for any number of items."""
-    lows, asked = cut(_minima_rows(documents, doc, run), "minima"), _minima_rows(items, item, run)
-    counts = lows.groupBy("low").agg(F.count("*").alias("n"))
-    hot, _ = hot_keys(counts, "low", "n", lows.count())
-    pairs = salted_join(lows, asked, ["low"], hot, "low", F.col(doc)).select(doc, item).distinct()
-
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            keep = []
-            for t, u in zip(b["_text"], b["_item"]):
-                a, c = words_of(t), words_of(u)
-                mine = {" ".join(c[i : i + run]) for i in range(len(c) - run + 1)}
-                keep.append(any(" ".join(a[i : i + run]) in mine for i in range(len(a) - run + 1)))
-            yield pd.DataFrame({c: b[c].to_numpy()[np.array(keep, bool)] for c in (doc, item)})
-
-    return pairs.join(documents, doc).join(items.withColumnRenamed("_text", "_item"), item).mapInPandas(check, schema)
-
-
-def leaked_items(documents: DataFrame, items: DataFrame, doc: str, doc_text: str, item: str, item_text: str, run: int = RUN, broadcast_chars: int = BROADCAST_CHARS) -> DataFrame:
-    """Distinct (doc, item) that share at least ``run`` consecutive words."""
+            out = []
+            for k, t in zip(b[key], b["_text"]):
+                words = word_hashes(t, cache)
+                h, low = minima(words, run)
+                signed = words.view(np.int64)
+                for p in places(h, low, np.arange(len(low)), run).tolist():
+                    out.append((k, int(h[p].view(np.int64)), len(low), p, signed[max(0, p - reach) : p][::-1], signed[p : p + run]))
+            yield pd.DataFrame(out, columns=[key, "low", "n", "at", "before", "after"])
+
+    return df.mapInPandas(emit, f"{key} {dict(df.dtypes)[key]}, low long, n int, at int, before array<long>, after array<long>")
+
+
+def _equal_words(a: str, b: str):
+    """Leading equal words of two arrays."""
+    both = F.arrays_zip(F.col(a).alias("x"), F.col(b).alias("y"))
+    size = F.least(F.size(a), F.size(b))
+    return F.coalesce(F.array_position(F.transform(F.slice(both, F.lit(1), size), lambda e: e["x"] == e["y"]), False), F.lit(0)), size
+
+
+def _shuffled(documents: DataFrame, items: DataFrame, doc: str, item: str, run: int) -> DataFrame:
+    """Search with both sides shuffled on their minima, for any number of items; no text is read twice."""
+    mine = cut(_minima_rows(documents, doc, run), "minima")
+    asked = _minima_rows(items, item, run).withColumnsRenamed({"n": "n_item", "at": "at_item", "before": "before_item", "after": "after_item"})
+    counts = mine.groupBy("low").agg(F.count("*").alias("n"))
+    hot, _ = hot_keys(counts, "low", "n", mine.count())
+    pairs = salted_join(mine.select(doc, "low", "before", "after"), asked, ["low"], hot, "low", F.col(doc))
+    back, size = _equal_words("before", "before_item")
+    left = F.when(back == 0, size).otherwise(back - 1)
+    on, size = _equal_words("after", "after_item")
+    right = F.when(on == 0, size).otherwise(on - 1)
+    found = pairs.withColumns({"left": left, "right": right}).where(F.col("left") + F.col("right") >= run)
+    windows = F.explode(F.sequence(F.col("at_item") - F.col("left"), F.col("at_item") + F.col("right") - run))
+    held = found.select(doc, item, "n_item", windows.alias("w")).distinct().groupBy(doc, item, "n_item").agg(F.count("*").alias("held"))
+    return held.select(doc, item, (F.col("held") / F.col("n_item")).alias("containment"))
+
+
+def leaked_items(documents: DataFrame, items: DataFrame, doc: str, doc_text: str, item: str, item_text: str, run: int = RUN, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """(doc, item, containment) of all pairs that share at least ``run`` consecutive words.
+
+    ``containment`` is the share of the item's windows of ``run`` words that stand in the document.
+    """
     if doc == item:
         raise ValueError("the two keys need different names")
     docs = documents.where(F.col(doc_text).isNotNull() & F.col(doc).isNotNull()).select(doc, F.col(doc_text).alias("_text"))
-    asked = items.where(F.col(item_text).isNotNull() & F.col(item).isNotNull()).select(item, F.col(item_text).alias("_text"))
-    schema = f"{doc} {dict(docs.dtypes)[doc]}, {item} {dict(asked.dtypes)[item]}"
-    size = asked.agg(F.coalesce(F.sum(F.char_length("_text")), F.lit(0))).first()[0]
-    if size <= broadcast_chars:
-        found = _local(docs, [tuple(r) for r in asked.collect()], doc, item, run, schema)
+    asked = items.where(F.col(item_text).isNotNull() & F.col(item).isNotNull()).select(item, F.col(item_text).alias("_text")).distinct()
+    schema = f"{doc} {dict(docs.dtypes)[doc]}, {item} {dict(asked.dtypes)[item]}, containment double"
+    size = asked.agg(F.coalesce(F.sum(F.char_length("_text") + 1), F.lit(0))).first()[0]
+    if size * CHAR_BYTES <= broadcast_bytes:
+        found = _local(docs, [tuple(r) for r in asked.collect()], doc, run, schema)
     else:
-        found = _shuffled(docs, asked, doc, item, run, schema)
-    return found.distinct()
+        found = _shuffled(docs, asked, doc, item, run)
+    return found.groupBy(doc, item).agg(F.max("containment").alias("containment"))

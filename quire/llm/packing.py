@@ -13,10 +13,12 @@ item; repeated texts are packed each; an empty table gives an empty result; othe
 from __future__ import annotations
 
 import base64
+import os
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,11 +42,13 @@ def load_tokenizer(path: str):
 
 
 def token_counts(df: DataFrame, key: str, text: str, tokenizer: str = TOKENIZER) -> DataFrame:
-    """(key, n_tokens) of every row; whole texts are encoded."""
+    """(key, n_tokens) of every row; whole texts are encoded. The file ``tokenizer`` is sent to every executor."""
+    df.sparkSession.sparkContext.addFile(tokenizer)
+    name = os.path.basename(tokenizer)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         single_thread()
-        encoder = load_tokenizer(tokenizer)
+        encoder = load_tokenizer(SparkFiles.get(name))
         for b in batches:
             yield pd.DataFrame({key: b[key], "n_tokens": np.array([len(encoder.encode_ordinary(t)) if t else 0 for t in b["_text"]], np.int64)})
 
@@ -104,21 +108,27 @@ def best_fit_decreasing(sizes: np.ndarray, capacity: int = CAPACITY) -> tuple[np
 def pack(counts: DataFrame, key: str, n_tokens: str = "n_tokens", capacity: int = CAPACITY, shard_items: int = SHARD_ITEMS) -> DataFrame:
     """(key, part_no, n_parts, token_start, n_tokens, sequence_id, sequence_offset) of every document.
 
-    ``sequence_id`` is the shard and the number of the bin in it. A shard holds about ``shard_items``
-    documents, whatever their number, so a task's memory is bounded.
+    A full part of a long document is a sequence by itself and stays in the JVM. What is left, at most one item a
+    document, is packed in shards of about ``shard_items`` items, so a task's memory is bounded; its
+    ``sequence_id`` is the shard and the number of the bin in it.
     """
     kind = dict(counts.dtypes)[key]
-    counts = cut(counts.select(key, F.col(n_tokens).cast("long").alias("n_tokens")), "sizes")
-    shards = max(1, -(-counts.count() // shard_items))
+    counts = cut(counts.select(key, F.col(n_tokens).cast("long").alias("n_tokens"), F.monotonically_increasing_id().alias("row")), "sizes")
     n, cap = F.col("n_tokens"), F.lit(capacity)
-    items = counts.where(n > 0).withColumn("n_parts", F.ceil(n / cap).cast("int")).withColumn("part_no", F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1)))
-    items = items.select(key, "part_no", "n_parts", (F.col("part_no") * cap).cast("long").alias("token_start"), F.least(cap, n - F.col("part_no") * cap).cast("long").alias("n_tokens"))
-    # a document is one row of the shuffle however long it is; its parts are spread like other items
-    items = items.withColumn("shard", F.pmod(F.xxhash64(key, "part_no"), F.lit(shards)).cast("int"))
+    shards = max(1, -(-counts.where(n % cap > 0).count() // shard_items))
+    whole = (n / cap).cast("long")
+    items = counts.where(n > 0).withColumn("n_parts", F.ceil(n / cap).cast("int"))
+    full = items.where(n >= cap).withColumn("part_no", F.explode(F.sequence(F.lit(0), (whole - 1).cast("int"))))
+    full = full.select(
+        key, "part_no", "n_parts", (F.col("part_no") * cap).cast("long").alias("token_start"), F.lit(capacity).cast("long").alias("n_tokens"),
+        F.concat(F.lit("full-"), "row", F.lit("-"), "part_no").alias("sequence_id"), F.lit(0).cast("long").alias("sequence_offset"),
+    )
+    items = items.where(n % cap > 0).select(key, "row", (F.col("n_parts") - 1).alias("part_no"), "n_parts", (whole * cap).alias("token_start"), (n % cap).alias("n_tokens"))
+    items = items.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int"))
     names = [key, "part_no", "n_parts", "token_start", "n_tokens"]
 
     def run(b: pd.DataFrame) -> pd.DataFrame:
-        b = b.sort_values([key, "part_no"], kind="stable")
+        b = b.sort_values("row", kind="stable")
         bins, at = best_fit_decreasing(b["n_tokens"].to_numpy(), capacity)
         out = b[names].copy()
         out["sequence_id"] = [f"{b['shard'].iloc[0]}-{x}" for x in bins]
@@ -130,4 +140,4 @@ def pack(counts: DataFrame, key: str, n_tokens: str = "n_tokens", capacity: int
     none = counts.where(F.coalesce(n, F.lit(0)) <= 0).select(
         key, F.lit(0).alias("part_no"), F.lit(0).alias("n_parts"), F.lit(0).cast("long").alias("token_start"), F.lit(0).cast("long").alias("n_tokens"), F.lit(None).cast("string").alias("sequence_id"), F.lit(None).cast("long").alias("sequence_offset")
     )
-    return packed.unionByName(none)
+    return full.unionByName(packed).unionByName(none)

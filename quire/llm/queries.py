@@ -64,6 +64,11 @@ def p7_packed(spark: SparkSession, d: str) -> DataFrame:
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     """Documents and the evaluation items they leak."""
+    return leaks.leaked_items(table(spark, d, "documents"), table(spark, d, "eval_items"), "doc_id", "text", "item_id", "item_text").select("doc_id", "item_id")
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    """The same with the share of each item's passages of 13 words that the document holds."""
     return leaks.leaked_items(table(spark, d, "documents"), table(spark, d, "eval_items"), "doc_id", "text", "item_id", "item_text")
 
 
@@ -74,7 +79,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p4_found": p4_found, "p4_classes": p4_classes, "p5_found": p5_found, "p5_repaired": p5_repaired,
-    "p7_packed": p7_packed, "p8_found": p8_found, "p9_found": p9_found,
+    "p7_packed": p7_packed, "p8_found": p8_found, "p8_shares": p8_shares, "p9_found": p9_found,
 }
 
 SQL = {
@@ -98,4 +103,9 @@ WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w
 dw AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(list_slice(w, k, k + 12), ' '))) AS g FROM d WHERE len(w) >= 13),
 iw AS (SELECT item_id, unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(list_slice(w, k, k + 12), ' '))) AS g FROM i WHERE len(w) >= 13)
 SELECT DISTINCT doc_id, item_id FROM dw JOIN iw ON dw.g = iw.g""",
+    "p8_shares": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents), i AS (SELECT item_id, regexp_extract_all(lower(item_text), '[\p{L}\p{N}]+') AS w FROM eval_items),
+dw AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(list_slice(w, k, k + 12), ' '))) AS g FROM d WHERE len(w) >= 13),
+iw AS (SELECT item_id, len(w) - 12 AS n, unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(list_slice(w, k, k + 12), ' '))) AS g FROM i WHERE len(w) >= 13)
+SELECT doc_id, item_id, CAST(count(*) AS DOUBLE) / n AS containment FROM dw JOIN iw ON dw.g = iw.g GROUP BY doc_id, item_id, n""",
 }

@@ -2,12 +2,13 @@
 
 Every position of a text has a boundary strength (paragraph, line, sentence, word, none). A sparse
 table answers in constant time where the strongest cut of a length window lies, the rightmost of
-equals. From there the next piece starts about ``overlap`` characters earlier, again at the
-strongest boundary near that place.
+equals. From there the next piece starts at least ``overlap`` characters earlier, again at the
+strongest boundary of the half overlap before that place. The table covers a stretch of the text and no
+range longer than a piece, so it stays small however long the text is.
 
 Defined results: a null text has no piece; an empty or short one is a single piece equal to the
-text; a text without any boundary is cut at the limit; repeated rows are split once each; extra
-columns are kept, as long as they are named in ``keys``.
+text; a text without any boundary is cut at the limit; repeated rows are split each, and ``text_hash`` tells
+pieces of different texts under one key apart; extra columns are kept, as long as they are named in ``keys``.
 """
 
 from __future__ import annotations
@@ -22,9 +23,11 @@ from pyspark.sql import functions as F
 
 LIMIT = 1500
 OVERLAP = 150
-#: A cut is looked for in the last part of a piece, and the start of the next one in this range around the overlap.
+#: A cut is looked for in the last part of a piece, and the start of the next one so far before the overlap.
 WINDOW = 0.5
 SLACK = 0.5
+#: Positions that one sparse table covers.
+STRETCH = 1 << 16
 
 # Strength of a cut before a position, from the weakest to the strongest.
 NONE, WORD, SENTENCE, LINE, PARAGRAPH = 0, 1, 2, 3, 4
@@ -47,13 +50,13 @@ def strengths(text: str) -> np.ndarray:
 class StrongestCut:
     """Sparse table: for every start and power of two, the position of the rightmost strongest cut."""
 
-    def __init__(self, s: np.ndarray):
+    def __init__(self, s: np.ndarray, widest: int | None = None):
         self.s = s
-        n = len(s)
-        self.rows = [np.arange(n, dtype=np.int32)]
+        n = min(len(s), widest or len(s))
+        self.rows = [np.arange(len(s), dtype=np.int32)]
         width = 1
         while 2 * width <= n:
-            a, b = self.rows[-1][: n - 2 * width + 1], self.rows[-1][width : n - width + 1]
+            a, b = self.rows[-1][:-width], self.rows[-1][width:]
             self.rows.append(np.where(s[a] > s[b], a, b).astype(np.int32))
             width *= 2
 
@@ -73,15 +76,17 @@ def spans(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[i
     n = len(text)
     if n <= limit:
         return [(0, n)]
-    index = StrongestCut(strengths(text))
-    out, start = [], 0
+    s, slack = strengths(text), int(overlap * SLACK)
+    out, start, base, index = [], 0, 0, None
     while n - start > limit:
+        if index is None or start + limit >= base + len(index.s):
+            base = start
+            index = StrongestCut(s[base : base + max(STRETCH, 2 * limit)], limit + 1)
         least = max(start + int(limit * (1 - WINDOW)), start + 2 * overlap + 1)
-        end = index.query(min(least, start + limit), start + limit)
+        end = base + index.query(min(least, start + limit) - base, start + limit - base)
         out.append((start, end))
         if overlap:
-            slack = int(overlap * SLACK)
-            start = index.query(max(start + 1, end - overlap - slack), max(start + 1, end - overlap + slack))
+            start = base + index.query(max(start + 1, end - overlap - slack) - base, max(start + 1, end - overlap) - base)
         else:
             start = end
     out.append((start, n))
@@ -89,13 +94,14 @@ def spans(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[i
 
 
 def split_texts(df: DataFrame, keys: list[str], text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
-    """Pieces (keys..., piece_no, n_pieces, start_at, piece) of every text of ``df``.
+    """Pieces (keys..., text_hash, piece_no, n_pieces, start_at, piece) of every text of ``df``.
 
     Texts within the limit never leave the JVM; only longer ones go to Python workers.
     """
-    rows = df.select(*keys, F.col(text).alias("_text")).where(F.col("_text").isNotNull())
+    rows = df.select(*keys, F.col(text).alias("_text")).where(F.col("_text").isNotNull()).withColumn("text_hash", F.xxhash64("_text"))
+    keys = [*keys, "text_hash"]
     short = rows.where(F.char_length("_text") <= limit).select(*keys, F.lit(0).alias("piece_no"), F.lit(1).alias("n_pieces"), F.lit(0).alias("start_at"), F.col("_text").alias("piece"))
-    # the long texts are few and lie together in files: spread them by content before the work
+    # long texts are split where they are read: a scan task has a bounded number of bytes
     long = rows.where(F.char_length("_text") > limit)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -20,7 +20,7 @@ def test_pieces_cover_the_text_within_the_limit(text, limit, overlap):
     assert cuts[0][0] == 0 and cuts[-1][1] == len(text)
     for (a, z), (b, y) in zip(cuts, cuts[1:]):
         assert a < b <= z < y or (overlap == 0 and b == z)
-        assert z - b <= max(2 * overlap, 0)
+        assert min(overlap, z - a - 1) <= z - b <= max(2 * overlap, 0)
     assert all(z - a <= limit for a, z in cuts)
     whole = "".join(text[max(a, cuts[i - 1][1] if i else 0) : z] for i, (a, z) in enumerate(cuts))
     assert whole == text
@@ -45,6 +45,23 @@ def test_boundaries_are_preferred():
         split.spans("x", 100, 50)
 
 
+def test_long_texts_need_small_tables(monkeypatch):
+    rng = random.Random(2)
+    text = "".join(rng.choice("ab. \n") for _ in range(20_000))
+    whole = split.spans(text, 100, 10)
+    monkeypatch.setattr(split, "STRETCH", 250)
+    assert split.spans(text, 100, 10) == whole
+    assert max(len(r) for r in split.StrongestCut(np.zeros(10_000, np.int8), 101).rows) == 10_000 and len(split.StrongestCut(np.zeros(10_000, np.int8), 101).rows) == 7
+
+
+def test_pieces_of_one_key_with_two_texts(spark):
+    df = spark.createDataFrame([("a", "word " * 400), ("a", "other " * 400), ("a", "short")], "id string, text string")
+    rows = split.split_texts(df, ["id"], "text").collect()
+    assert len({r.text_hash for r in rows}) == 3
+    for h in {r.text_hash for r in rows}:
+        assert sorted(r.piece_no for r in rows if r.text_hash == h) == list(range(next(r.n_pieces for r in rows if r.text_hash == h)))
+
+
 def test_split_frame(spark):
     df = spark.createDataFrame([("a", "short", 1), ("b", "word " * 1000, 2), ("c", None, 3), ("d", "", 4), ("e", "ü" * 1500, 5), ("f", "ü" * 1501, 6)], "id string, text string, piece int")
     rows = split.split_texts(df, ["id"], "text").collect()
@@ -99,6 +116,16 @@ def test_pack_in_shards(spark):
     assert len(rows) == 500 and len({r.sequence_id.split("-")[0] for r in rows}) == 5
 
 
+def test_pack_of_books_and_repeated_keys(spark):
+    # full parts never meet in a shard, and rows of one key stay apart
+    df = spark.createDataFrame([(1, 2048 * 300 + 5), (1, 2048 * 300 + 5), (2, 4096), (3, 10)], "doc_id long, n_tokens long")
+    rows = packing.pack(df, "doc_id", shard_items=2).collect()
+    room = {}
+    for r in rows:
+        room[r.sequence_id] = room.get(r.sequence_id, 0) + r.n_tokens
+    assert len(rows) == 605 and max(room.values()) <= 2048 and sum(v == 2048 for v in room.values()) == 602
+
+
 def test_token_counts(spark):
     df = spark.createDataFrame([(1, "the bank"), (2, None), (3, ""), (4, "<|endoftext|>")], "doc_id long, text string")
     got = {r.doc_id: r.n_tokens for r in packing.token_counts(df, "doc_id", "text").collect()}

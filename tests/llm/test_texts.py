@@ -66,15 +66,31 @@ def _leak_tables(spark):
     return spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(k, t, "n") for k, t in items], "item_id long, item_text string, text string")
 
 
-@pytest.mark.parametrize("chars", [leaks.BROADCAST_CHARS, 0])
+@pytest.mark.parametrize("chars", [leaks.BROADCAST_BYTES, 0])
 def test_leaks(spark, chars):
     docs, items = _leak_tables(spark)
-    got = {(r.doc_id, r.item_id) for r in leaks.leaked_items(docs, items, "doc_id", "text", "item_id", "item_text", broadcast_chars=chars).collect()}
+    got = {(r.doc_id, r.item_id) for r in leaks.leaked_items(docs, items, "doc_id", "text", "item_id", "item_text", broadcast_bytes=chars).collect()}
     assert got == {(1, 3), (2, 4), (4, 7), (4, 8)}
-    assert leaks.leaked_items(docs.limit(0), items, "doc_id", "text", "item_id", "item_text", broadcast_chars=chars).count() == 0
+    share = {(r.doc_id, r.item_id): r.containment for r in leaks.leaked_items(docs, items, "doc_id", "text", "item_id", "item_text", broadcast_bytes=chars).collect()}
+    assert share == {(1, 3): 1.0, (2, 4): pytest.approx(1 / 18), (4, 7): pytest.approx(1 / 18), (4, 8): 1.0}
+    assert leaks.leaked_items(docs.limit(0), items, "doc_id", "text", "item_id", "item_text", broadcast_bytes=chars).count() == 0
     assert leaks.leaked_items(docs, items.limit(0), "doc_id", "text", "item_id", "item_text").count() == 0
 
 
+@pytest.mark.parametrize("size", [leaks.BROADCAST_BYTES, 0])
+def test_leaks_of_repetitive_texts(spark, size):
+    # words repeat so often that minima tie within windows and one shingle stands in many places
+    rng = random.Random(13)
+    words_ = ["a", "b", "c"]
+    items = [(i, " ".join(rng.choice(words_) for _ in range(rng.randrange(13, 40)))) for i in range(15)] + [(50, "a " * 20), (51, "a b " * 15)]
+    docs = [(i, " ".join(rng.choice(words_) for _ in range(300))) for i in range(30)] + [(90, "a " * 400), (91, "b a " * 200)]
+    docs += [(100 + i, "c c " + " ".join(items[i][1].split()[-13:]) + " b") for i in range(15)]
+    runs = lambda t: [" ".join(t.split()[i : i + 13]) for i in range(len(t.split()) - 12)]
+    want = {(d, k): sum(w in set(runs(t)) for w in runs(u)) / len(runs(u)) for d, t in docs for k, u in items if set(runs(t)) & set(runs(u))}
+    out = leaks.leaked_items(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, item_text string"), "doc_id", "text", "item_id", "item_text", broadcast_bytes=size)
+    assert {(r.doc_id, r.item_id): pytest.approx(r.containment) for r in out.collect()} == want and len(want) > 15
+
+
 SENTENCE = "The {a} of the {b} measures every {c} near the origin, so readers should compare the {a} before the {c} hides it."
 
 
