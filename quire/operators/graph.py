@@ -107,3 +107,56 @@ def chapters(segments: DataFrame) -> DataFrame:
         F.min("chapter_title").alias("chapter_title"), F.count("*").alias("n_segments"), F.bool_or(F.col("segment_type") == "solution").alias("solutions_present"), F.min("page_start").alias("first_page"),
         F.first(F.size(F.split("chapter_number", r"\."))).cast("int").alias("level"),
     )
+
+
+#: Hops of a chain: name, kind of the node, edge types, and the column that the edge points to.
+HOPS = [
+    ("example_id", "worked_example", ["USES_FORMULA", "REFERENCES", "EXPLAINS"], "formula_id"), ("question_id", "question", ["USES_FORMULA", "REFERENCES", "EXPLAINS"], "formula_id"),
+    ("solution_id", "solution", ["ANSWER_OF", "REFERENCES", "EXPLAINS"], "question_id"), ("derivation_id", "derivation", ["USES_FORMULA", "REFERENCES", "EXPLAINS"], "formula_id"),
+]
+
+
+def partial_chains(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Chains of every formula to example, question, solution and derivation, with nulls where a hop has no neighbour.
+
+    At each hop the neighbour nearest in pages is taken, the smallest id of equals; ``n_hops`` counts the hops there are.
+    Each hop is one join of edges with the nodes of its kind and one aggregate on the node before it.
+    """
+    n = nodes.select("node_id", "kind", "page")
+    out = n.where("kind = 'formula'").select(F.col("node_id").alias("formula_id"))
+    pages = n.select(F.col("node_id").alias("_at"), F.col("page").alias("_from"))
+    for name, kind, types, at in HOPS:
+        to = n.where(F.col("kind") == kind).select(F.col("node_id").alias("_n"), F.col("page").alias("_p"))
+        e = edges.where(F.col("edge_type").isin(types)).select(F.col("target_id").alias("_at"), F.col("source_id").alias("_n")).distinct()
+        near = F.min(F.struct(F.abs(F.col("_p") - F.col("_from")).alias("d"), F.col("_n")))
+        hop = e.join(to, "_n").join(pages, "_at").groupBy(F.col("_at").alias(at)).agg(near.alias("b")).select(at, F.col("b._n").alias(name))
+        out = out.join(hop, at, "left")
+    n_hops = sum((F.col(name).isNotNull().cast("int") for name, *_ in HOPS), F.lit(0))
+    return out.select("formula_id", *[name for name, *_ in HOPS], n_hops.alias("n_hops"))
+
+
+def fullest_chains(chains_: DataFrame, most: int = 8) -> DataFrame:
+    """The ``most`` chains with most hops for a report, by formula id where equal."""
+    return chains_.where("n_hops > 0").orderBy(F.desc("n_hops"), "formula_id").limit(most)
+
+
+def graph_checks(segments: DataFrame, edges: DataFrame) -> DataFrame:
+    """(check, n_bad) of a graph as delivered: ids, repeated ids, edge fields and ends that name no node."""
+    ids = segments.groupBy("segment_id").agg(F.count("*").alias("n"))
+    nodes = ids.agg(F.coalesce(F.sum(F.when(F.col("segment_id").isNull(), F.col("n"))), F.lit(0)).alias("a"), F.count_if(F.col("segment_id").isNotNull() & (F.col("n") > 1)).alias("b"))
+    known = ids.where("segment_id is not null").select(F.col("segment_id").alias("_id"), F.lit(True).alias("_k"))
+    gaps = edges.agg(F.count_if(F.col("source_id").isNull() | F.col("target_id").isNull() | F.col("edge_type").isNull() | F.col("strength").isNull() | F.col("anchor_metadata").isNull()).alias("n"))
+    ends = edges.groupBy("source_id", "target_id").agg(F.count("*").alias("n"))
+    for c in ("source_id", "target_id"):
+        ends = ends.join(known.withColumnsRenamed({"_id": c, "_k": f"_{c}"}), c, "left")
+    loose = ends.where("_source_id is null or _target_id is null").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    rows = [nodes.select(F.lit("missing_id").alias("check"), F.col("a").alias("n_bad")), nodes.select(F.lit("repeated_id"), "b"), gaps.select(F.lit("edge_fields"), "n"), loose.select(F.lit("dangling_edge"), "n")]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.union(r)
+    return out
+
+
+def of_types(segments: DataFrame, allowed: list[str]) -> DataFrame:
+    """Segments of the allowed types, in any case."""
+    return segments.where(F.lower("segment_type").isin([t.lower() for t in allowed]))

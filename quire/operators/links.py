@@ -141,3 +141,40 @@ def nearest_chapter(items: DataFrame, marks: DataFrame, reach: int = 120) -> Dat
     dist = F.abs(F.col("page_idx") - F.col("mp"))
     near = items.select("doc_id", "ord", "page_idx").join(m, "doc_id").where(dist <= reach)
     return near.groupBy("doc_id", "ord").agg(F.min_by("chapter", F.struct(dist.alias("d"), F.col("mo"))).alias("chapter"))
+
+
+def answer_signals(questions: DataFrame, solutions: DataFrame, least: float = 0.75) -> DataFrame:
+    """Best question (solution_id, question_id, score) of each solution in a book by several signals, from ``least`` on.
+
+    Both sides have id, book_id, chapter, key (chapter and number), formulas (array), concepts (array) and text.
+    Signals: the key 0.7; the chapter 0.1, and chapters more than one apart never match; shared concepts 0.1 to 0.25;
+    shared formulas 0.1 each up to 0.3; 0.1 for more than 0.3 of shared words where the question has formulas. Word
+    similarity counts below a score of 0.5 only and adds 0.2 at most, so it can't lift a pair to ``least``. Without an
+    equal key or a shared formula no pair reaches 0.75 either: pairs come from two equi-joins on these.
+    """
+    if least < 0.75:
+        raise ValueError("pairs below 0.75 need no shared key or formula, so they can't be found by joins on these")
+    fields = ["id", "book_id", "chapter", "key", "formulas", "concepts", "text"]
+    q = questions.select(*[F.col(c).alias(f"q_{c}") for c in fields])
+    s = solutions.select(*fields)
+    by_key = s.join(q, (F.col("book_id") == F.col("q_book_id")) & (F.col("key") == F.col("q_key"))).select("id", "q_id")
+    qf, sf = q.select("q_id", "q_book_id", F.explode("q_formulas").alias("qf")), s.select("id", "book_id", F.explode("formulas").alias("f"))
+    by_formula = sf.join(qf, (F.col("book_id") == F.col("q_book_id")) & (F.col("f") == F.col("qf"))).select("id", "q_id")
+    pairs = by_key.unionByName(by_formula).distinct().join(s, "id").join(q, "q_id")
+    number = lambda c: F.coalesce(F.regexp_extract(c, r"(\d+)", 1).try_cast("int"), F.lit(0))
+    known = (F.col("chapter") != "Unknown") & (F.col("q_chapter") != "Unknown")
+    far = known & (F.col("chapter") != F.col("q_chapter")) & (F.abs(number(F.col("chapter")) - number(F.col("q_chapter"))) > 1)
+    empty = F.array().cast("array<string>")
+    shared = lambda c: F.size(F.array_intersect(F.coalesce(F.col(c), empty), F.coalesce(F.col(f"q_{c}"), empty)))
+    union = F.size(F.array_union(F.coalesce(F.col("concepts"), empty), F.coalesce(F.col("q_concepts"), empty)))
+    concepts = F.when(shared("concepts") > 0, F.least(F.lit(0.25), 0.1 + 0.15 * shared("concepts") / union)).otherwise(0.0)
+    words = lambda c: F.array_distinct(F.filter(F.split(F.lower(F.coalesce(F.col(c), F.lit(""))), r"\s+"), lambda w: w != ""))
+    a, b = words("text"), words("q_text")
+    alike = F.size(F.array_intersect(a, b)) / F.greatest(F.size(F.array_union(a, b)), F.lit(1))
+    score = (
+        F.when(F.col("key") == F.col("q_key"), 0.7).otherwise(0.0) + F.when(known & (F.col("chapter") == F.col("q_chapter")), 0.1).otherwise(0.0) + concepts
+        + F.least(F.lit(0.3), 0.1 * shared("formulas")) + F.when((F.size(F.coalesce(F.col("q_formulas"), empty)) > 0) & (alike > 0.3), 0.1).otherwise(0.0)
+    )
+    best = pairs.where(~F.coalesce(far, F.lit(False))).withColumn("score", F.round(F.least(F.lit(1.0), score), 6)).where(F.col("score") >= least)
+    best = best.groupBy("id").agg(F.min(F.struct((-F.col("score")).alias("s"), F.col("q_id"))).alias("b"))
+    return best.select(F.col("id").alias("solution_id"), F.col("b.q_id").alias("question_id"), (-F.col("b.s")).alias("score"))

@@ -53,3 +53,32 @@ def cross_table_mentions(texts: DataFrame, tables: DataFrame) -> DataFrame:
     m = texts.select("book_id", "item_id", F.explode(F.array_distinct(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(pattern), F.lit(1)))).alias("table_number"))
     t = tables.where("table_number is not null").select("book_id", "table_number", "segment_id").distinct()
     return m.join(t, ["book_id", "table_number"]).select("item_id", "segment_id").distinct()
+
+
+def table_json(tables: DataFrame, cells: DataFrame) -> DataFrame:
+    """(segment_id, body): each table with its cells in order of row and column as one JSON text; nulls are kept."""
+    cell = F.struct("row_index", "col_index", "cell_id", "cell_type", "raw_value", "rowspan", "colspan", "formula_text", "units")
+    held = cells.where(F.col("segment_id").isNotNull()).groupBy("segment_id").agg(F.array_sort(F.collect_list(cell)).alias("cells"))
+    whole = tables.join(held, "segment_id", "left").withColumn("cells", F.coalesce("cells", F.array().cast(dict(held.dtypes)["cells"])))
+    return whole.select("segment_id", F.to_json(F.struct("segment_id", "table_number", "caption", "page_start", "page_end", "cells"), {"ignoreNullFields": "false"}).alias("body"))
+
+
+def table_summary(tables: DataFrame) -> DataFrame:
+    """Tables, last page and mean confidence of each extractor."""
+    return tables.groupBy("extractor").agg(F.count("*").alias("n_tables"), F.max(F.coalesce("page_end", "page_start", F.lit(0))).alias("total_pages"), F.round(F.avg("confidence"), 6).alias("mean_confidence"))
+
+
+def page_texts(blocks: DataFrame) -> DataFrame:
+    """(layout_id, page_idx, page_text): the texts of a page in the order of their index, joined by line ends.
+
+    A block that was delivered again counts once, as it came first; blocks without index come last, by key.
+    """
+    once = blocks.groupBy("block_key").agg(F.min(F.struct(F.coalesce("loaded_at", F.lit("9999-01-01").cast("timestamp")).alias("t"), F.coalesce("text", F.lit("")).alias("text"), "layout_id", "page_idx", "block_index")).alias("b"))
+    rows = once.select("block_key", "b.*").where("text <> ''")
+    item = F.struct(F.coalesce("block_index", F.lit(2**31 - 1)).alias("i"), "block_key", "text")
+    return rows.groupBy("layout_id", "page_idx").agg(F.array_join(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["text"]), "\n").alias("page_text"))
+
+
+def unique_regions(regions: DataFrame, key: str, place: list[str]) -> DataFrame:
+    """The first region (smallest ``key``) at each place, and how many stand there."""
+    return regions.groupBy(*place).agg(F.min(key).alias(key), F.countDistinct(key).alias("n_regions"))

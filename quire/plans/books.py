@@ -24,7 +24,7 @@ WITH lines AS (
          l_partkey AS pk, l_suppkey AS sk, CAST(l_quantity AS BIGINT) AS qty FROM lineitem),
 placed AS (
   SELECT doc_id, ord, pk, sk, qty, ord % 12 AS slot, CAST(floor(ord / 12) AS BIGINT) AS page_idx, CAST(floor(ord / 60) AS BIGINT) + 1 AS ch, CAST(floor(ord / 12) AS BIGINT) % 5 + 1 AS sec FROM lines),
-book_blocks AS (
+book_blocks AS MATERIALIZED (
   SELECT doc_id, CAST(ord AS BIGINT) AS ord, CAST(page_idx AS BIGINT) AS page_idx,
     CAST(50.0 + 10 * (sk % 3) AS DOUBLE) AS x0, CAST(60.0 + 55 * slot AS DOUBLE) AS y0, CAST(450.0 + 10 * (sk % 3) AS DOUBLE) AS x1, CAST(100.0 + 55 * slot AS DOUBLE) AS y1,
     CASE WHEN slot IN (0, 1) THEN 'heading' WHEN slot = 4 THEN 'formula' WHEN slot = 8 THEN 'table' WHEN slot = 9 THEN 'image' ELSE 'text' END AS block_type,
@@ -127,7 +127,7 @@ _HEADS = BOOK_SQL + """,
 lev AS (SELECT *, CASE WHEN block_type <> 'heading' THEN NULL WHEN regexp_matches(text, '(?i)^(part|chapter)\\b') THEN 1 WHEN regexp_matches(text, '(?i)^section\\b') THEN 2
   WHEN regexp_matches(text, '^\\d') THEN len(string_split(regexp_extract(text, '^(\\d+(?:\\.\\d+)*)', 1), '.')) ELSE 2 END AS level FROM book_blocks),
 filled AS (SELECT *, max(CASE WHEN level = 1 THEN ord END) OVER w AS o1, max(CASE WHEN level = 2 THEN ord END) OVER w AS o2 FROM lev WINDOW w AS (PARTITION BY doc_id ORDER BY ord ROWS UNBOUNDED PRECEDING)),
-outlined AS (
+outlined AS MATERIALIZED (
   SELECT f.*, CASE WHEN o2 > coalesce(o1, -1) THEN o2 ELSE o1 END AS section_ord, concat_ws(' > ', a.text, CASE WHEN o2 > coalesce(o1, -1) THEN b.text END) AS heading_path
   FROM filled f LEFT JOIN book_blocks a ON a.doc_id = f.doc_id AND a.ord = f.o1 LEFT JOIN book_blocks b ON b.doc_id = f.doc_id AND b.ord = f.o2),
 labelled AS (SELECT *, """ + _LABEL + """ AS segment_type FROM (SELECT *, trim(text) AS t, lower(heading_path) AS h FROM outlined WHERE block_type = 'text')),
@@ -444,6 +444,19 @@ def graph_chains(spark, d):
     return graph.chains(graph.edge_rows(table(spark, d, "edges")), _nodes(spark, d))
 
 
+def _chain_hop(name: str, kind: str, types: str, at: str, rows: str, keep: str) -> str:
+    return f"""{name} AS (SELECT {keep}, e.source_id AS {name}_id FROM {rows} r JOIN (SELECT DISTINCT source_id, target_id FROM ed WHERE edge_type IN ({types})) e ON e.target_id = r.{at} JOIN nodes n ON n.node_id = e.source_id AND n.kind = '{kind}'
+  QUALIFY row_number() OVER (PARTITION BY {keep} ORDER BY abs(n.page - r.page) NULLS FIRST, e.source_id) = 1)"""
+
+
+_USES = "'USES_FORMULA', 'REFERENCES', 'EXPLAINS'"
+_CHAIN = _GRAPH + """, f AS (SELECT node_id AS formula_id, page FROM nodes WHERE kind = 'formula'), """ + ", ".join([
+    _chain_hop("example", "worked_example", _USES, "formula_id", "f", "formula_id, r.page"),
+    _chain_hop("question", "question", _USES, "formula_id", "example", "formula_id, r.page, example_id"),
+    _chain_hop("solution", "solution", "'ANSWER_OF', 'REFERENCES', 'EXPLAINS'", "question_id", "question", "formula_id, r.page, example_id, question_id"),
+]) + " SELECT formula_id, example_id, question_id, solution_id FROM solution"
+
+
 def question_status(spark, d):
     """Questions by solution status."""
     q = _nodes(spark, d).where("kind = 'question'")
@@ -623,6 +636,6 @@ SQL = {
     "block_types": _BLOCK_TYPES, "clean_text": _CLEAN_TEXT, "classify_objects": _CLASSIFY, "numbering": _NUMBERING, "title_objects": _TITLES, "refs_linked": _REFS_LINKED, "refs_dangling": _REFS_DANGLING, "equation_links": _EQ, "adjacency": _ADJ,
     "section_paths": _SECTIONS, "contents_to_block": _TOC, "list_groups": _LISTS, "title_groups": _TITLE_GROUPS, "furniture_lines": _FURNITURE, "formula_items": _FORMULAS, "formula_canonical": _CANONICAL, "symbol_overlap": _OVERLAP,
     "source_match": _SOURCE, "region_blocks": _REGION, "answer_score": _QA, "nearest_chapter": _NEAREST, "graph_edges": _GRAPH_EDGES, "graph_dangling": _GRAPH_DANGLING, "graph_admitted": _GRAPH_ADMITTED,
-    "graph_counts": _GRAPH + " SELECT kind, count(*) AS n_nodes FROM nodes GROUP BY 1", "question_status": _STATUS, "quality_stats": _QUALITY, "chapter_rollup": _CHAPTERS, "concept_top5": _CONCEPTS, "concept_phrases": _PHRASES, "concept_pages": _CONCEPT_PAGES,
+    "graph_counts": _GRAPH + " SELECT kind, count(*) AS n_nodes FROM nodes GROUP BY 1", "graph_chains": _CHAIN, "question_status": _STATUS, "quality_stats": _QUALITY, "chapter_rollup": _CHAPTERS, "concept_top5": _CONCEPTS, "concept_phrases": _PHRASES, "concept_pages": _CONCEPT_PAGES,
     "embedding_top5": _EMBED, "cell_types": _CELL_TYPES, "table_fill": _FILL, "table_markdown": _MARKDOWN, "computed_columns": _COMPUTED, "table_mentions": _MENTIONS, "legend_groups": _LEGEND, "event_windows": _EVENTS,
 }

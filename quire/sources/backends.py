@@ -33,7 +33,10 @@ def enrich(df: DataFrame, name: str, key: str, request: Column) -> DataFrame:
     if backend is None:
         return df.withColumns({"result": F.lit(None).cast("string"), "status": F.lit("skipped"), "reason": F.lit(f"no backend named {name}")})
     asked = df.withColumn("_request", request).withColumn("_key", F.md5(F.coalesce("_request", F.lit(""))))
-    answers = backend(asked.where("_request is not null").select(F.col("_key").alias("key"), F.col("_request").alias("request")).dropDuplicates(["key"]))
+    try:
+        answers = backend(asked.where("_request is not null").select(F.col("_key").alias("key"), F.col("_request").alias("request")).dropDuplicates(["key"])).select("key", "result")
+    except Exception as e:  # a backend that can't start fails its rows, not the job
+        return df.withColumns({"result": F.lit(None).cast("string"), "status": F.lit("error"), "reason": F.lit(f"{type(e).__name__}: {str(e)[:200]}")})
     out = asked.join(answers.select(F.col("key").alias("_key"), "result"), "_key", "left")
     status = F.when(F.col("_request").isNull(), "empty").when(F.col("result").isNull(), "error").otherwise("ok")
     return out.withColumn("status", status).withColumn("reason", F.when(status == "error", "the backend gave no result").when(status == "empty", "nothing to ask")).drop("_request", "_key")

@@ -5,8 +5,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from quire.functions import formulas as X
 from quire.functions import qa
-from quire.operators import regions, segments
+from quire.operators import concepts, graph, links, regions, segments
 from quire.sources import backends
 
 BLOCKS = "doc_id long, ord long, page_idx long, x0 double, y0 double, x1 double, y1 double, block_type string, text string"
@@ -169,3 +170,72 @@ def test_empty_chains(spark, rows, n):
     edges = spark.createDataFrame([("e", *r) for r in rows], "edge_id string, source_id string, target_id string, edge_type string")
     nodes = spark.createDataFrame([], "node_id string, kind string, page int")
     assert graph.chains(edges, nodes).count() == n
+
+
+def test_question_and_reference_keys(spark):
+    assert one(spark, qa.question_number, "Q 12 (a)", "Problem 3.2b", "7", "x", None, "nr 4 c") == ["12a", "3.2b", "7", None, None, "4c"]
+    assert one(spark, qa.solution_number, "Solution to Q12(a).", "The answer to question 5: x", "For question 2 (b), x", "Question 9: y", "Question 9 y", None, "") == ["12a", "5", "2b", "9", None, None, None]
+    assert one(spark, qa.leading_number, "3. x", " 14) y", "3 x", None) == ["3", "14", None, None]
+    assert one(spark, qa.phrase_key, "The cost of capital in a firm today", "  ", "of the", None) == ["cost_capital_firm_today", None, None, None]
+    df = spark.createDataFrame([("3.1", "12a", "concept_check"), ("Unknown", "1", None), ("4", None, "cfa"), ("4", "2", "cfa"), (None, "", None)], "ch string, num string, kind string")
+    keys = [r[0] for r in df.select(qa.reference_key(F.col("ch"), F.col("num"), "Q", F.col("kind"))).collect()]
+    assert keys == ["Ch3-Q12a-CC", None, None, "Ch4-Q2-CFA", None] and one(spark, qa.bare_key, "Ch3-Q12a-CC", "Ch4-S2") == ["Ch3-Q12a", "Ch4-S2"]
+    made = [r[0] for r in df.select(qa.qa_key(F.col("ch"), F.col("kind"), F.col("num"))).collect()]
+    assert made == ["3.1|concept_check|12a", "Unknown|other|1", "4|cfa|na", "4|cfa|2", "na|other|na"] and one(spark, qa.key_number, made[0], "a|b", None) == ["12a", "", ""]
+
+
+def test_formula_predicates(spark):
+    assert one(spark, X.is_formula, "y = a + b", "σ", "k = 1", "12.5 %", "the price (9.1) of x = y here", "the price is high and then it goes on = so", "(20.3)", None) == [True, False, False, False, True, False, True, False]
+    assert one(spark, X.is_formula_like, "a_1 b", "www.x.com = 1", "(9.1)", "plain words", "") == [True, False, False, False, False]
+    assert one(spark, X.is_prose, "one two three four five six seven eight", "a = b", "x = 1 + 2 ^ 3 one two three") == [True, False, False]
+    assert one(spark, X.is_equation_label, "(9.1a)", "see Eq. 3.2", "9") == [True, True, False]
+    assert one(spark, X.is_symbol, "NPV", "r_f", "α", "gamma", "years", "12", "wordy") == [True, True, True, True, False, False, False]
+    assert one(spark, X.candidate_symbols, "where E(r_M) = log(x) + averyveryverylongname1", None) == [["E(r_M)", "log(x)"], []]
+    assert one(spark, X.usage_in_context, "as we define it", "use equation 3", "plain", None) == ["definition", "reference", "application", "application"]
+    df = spark.createDataFrame([(["X", "x", "y"], "the X is"), (None, "t"), (["z"], None)], "s array<string>, t string")
+    assert [r[0] for r in df.select(X.alignment(F.col("s"), F.col("t"))).collect()] == [0.5, 0.0, 0.0]
+
+
+def test_answer_signals(spark):
+    schema = "id string, book_id string, chapter string, key string, formulas array<string>, concepts array<string>, text string"
+    q = spark.createDataFrame([("q1", "b", "3", "3-1", ["f1"], None, "find the price of it"), ("q2", "b", "9", "9-2", None, None, "x"), ("q3", "b", "3", None, ["f1", "f2", "f3"], ["c"], "price of the bond")], schema)
+    s = spark.createDataFrame([("s1", "b", "3", "3-1", None, None, "it is 5"), ("s2", "b", "3", "9-2", None, None, "x"), ("s3", "b", "3", None, ["f1", "f2", "f3", "f4"], ["c"], "price of the bond"), ("s4", "c", "3", "3-1", None, None, None)], schema)
+    got = {(r.solution_id, r.question_id): r.score for r in links.answer_signals(q, s).collect()}
+    assert got == {("s1", "q1"): 0.8, ("s3", "q3"): 0.75}
+    assert links.answer_signals(q.limit(0), s).count() == 0
+    with pytest.raises(ValueError):
+        links.answer_signals(q, s, 0.5)
+
+
+def test_concepts_by_words_and_keywords(spark):
+    c = spark.createDataFrame([("c1", "Bond price", ["yield", "Coupon"], 1), ("c2", "Bond", None, 2), ("c3", None, ["bon"], 1)], "concept_id string, concept_name string, keywords array<string>, concept_level int")
+    s = spark.createDataFrame([("a", "the bond market"), ("b", None), ("c", "price of a bond"), ("a", "the bond market")], "segment_id string, text string")
+    assert {tuple(r) for r in concepts.fallback_concepts(s, c.where("concept_id <> 'c3'")).collect()} == {("a", "c2", 0.25), ("b", "c1", 0.1), ("c", "c1", 0.25)}
+    got = {(r.segment_id, r.concept_id): (round(r.confidence, 6), r.method) for r in concepts.table_concepts(s, c).collect()}
+    assert got == {("a", "c2"): (0.8, "keyword"), ("a", "c3"): (0.8, "keyword"), ("c", "c2"): (0.8, "keyword"), ("c", "c3"): (0.8, "keyword")}
+    near = spark.createDataFrame([("a", "c2", 0.9), ("b", "c1", 0.5), ("b", "c2", 0.2)], "segment_id string, concept_id string, similarity double")
+    both = {(r.segment_id, r.concept_id): (round(r.confidence, 6), r.method) for r in concepts.table_concepts(s, c, near).collect()}
+    assert both["a", "c2"] == (1.0, "semantic+keyword") and both["b", "c1"] == (0.5, "semantic") and ("b", "c2") not in both
+    m = spark.createDataFrame([("a", "n", "c1", 2, 0.9), ("a", "n", "c2", 1, 0.3), ("a", "n", "c3", 1, 0.5), ("a", "m", "c4", 3, 0.1)], "segment_id string, concept_name string, concept_id string, concept_level int, confidence double")
+    assert {(r.concept_name, r.concept_id) for r in concepts.unique_concepts(m, "segment_id").collect()} == {("n", "c3"), ("m", "c4")}
+
+
+def test_partial_chains_and_checks(spark):
+    nodes = spark.createDataFrame([("f", "formula", 5), ("f2", "formula", 1), ("e1", "worked_example", 9), ("e2", "worked_example", 4), ("q", "question", 6), ("s", "solution", 7)], "node_id string, kind string, page int")
+    edges = spark.createDataFrame([("e1", "f", "REFERENCES"), ("e2", "f", "EXPLAINS"), ("q", "f", "USES_FORMULA"), ("s", "q", "ANSWER_OF"), ("q", "gone", "EXPLAINS")], "source_id string, target_id string, edge_type string")
+    rows = {r.formula_id: r for r in graph.partial_chains(edges, nodes).collect()}
+    assert tuple(rows["f"]) == ("f", "e2", "q", "s", None, 3) and rows["f2"].n_hops == 0
+    assert [r.formula_id for r in graph.fullest_chains(graph.partial_chains(edges, nodes)).collect()] == ["f"]
+    segs = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "segment_id string")
+    es = spark.createDataFrame([("a", "b", "T", 1.0, "m"), ("a", "x", "T", None, "m"), (None, "b", "T", 1.0, "m")], "source_id string, target_id string, edge_type string, strength double, anchor_metadata string")
+    assert {r["check"]: r.n_bad for r in graph.graph_checks(segs, es).collect()} == {"missing_id": 1, "repeated_id": 1, "edge_fields": 2, "dangling_edge": 2}
+    assert {r["check"]: r.n_bad for r in graph.graph_checks(segs.limit(0), es.limit(0)).collect()} == {"missing_id": 0, "repeated_id": 0, "edge_fields": 0, "dangling_edge": 0}
+
+
+def test_backend_that_fails(spark):
+    def broken(df):
+        raise RuntimeError("no key")
+
+    backends.register("broken", broken)
+    rows = backends.enrich(spark.createDataFrame([(1, "a")], "id int, t string"), "broken", "id", F.col("t")).collect()
+    assert rows[0].status == "error" and "no key" in rows[0].reason
