@@ -62,6 +62,15 @@ def p7_packed(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(packing.token_counts(table(spark, d, "documents"), "doc_id", "text"), "doc_id")
 
 
+def p7_balance(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of the sequences: none over the capacity, no document cut that fits, none without a place, no part missing."""
+    rows = p7_packed(spark, d)
+    room = rows.where("sequence_id is not null").groupBy("sequence_id").agg(F.sum("n_tokens").alias("n"), F.max(F.col("sequence_offset") + F.col("n_tokens")).alias("end")).agg(F.count_if((F.col("n") > packing.CAPACITY) | (F.col("end") > packing.CAPACITY)).alias("n_over"))
+    docs = rows.groupBy("doc_id").agg(F.sum("n_tokens").alias("n"), F.max("n_parts").alias("parts"), F.count("*").alias("rows"), F.count("sequence_id").alias("placed"))
+    cut_ = docs.agg(F.count_if((F.col("parts") > 1) & (F.col("n") <= packing.CAPACITY)).alias("n_cut"), F.count_if((F.col("parts") > 0) & (F.col("rows") != F.col("parts"))).alias("n_parts_missing"), F.count_if(F.col("placed") > 0).alias("n_placed"))
+    return room.crossJoin(cut_)
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     """Documents and the evaluation items they leak."""
     return leaks.leaked_items(table(spark, d, "documents"), table(spark, d, "eval_items"), "doc_id", "text", "item_id", "item_text").select("doc_id", "item_id")
@@ -79,7 +88,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p4_found": p4_found, "p4_classes": p4_classes, "p5_found": p5_found, "p5_repaired": p5_repaired,
-    "p7_packed": p7_packed, "p8_found": p8_found, "p8_shares": p8_shares, "p9_found": p9_found,
+    "p7_packed": p7_packed, "p7_balance": p7_balance, "p8_found": p8_found, "p8_shares": p8_shares, "p9_found": p9_found,
 }
 
 SQL = {
@@ -98,6 +107,7 @@ WITH s AS (SELECT DISTINCT segment_id, list_distinct(regexp_extract_all(lower(te
 t AS (SELECT segment_id, w, len(w) AS n FROM s WHERE len(w) >= 12),
 p AS (SELECT a.segment_id AS segment_id_a, b.segment_id AS segment_id_b, a.n + b.n AS n, len(list_intersect(a.w, b.w)) AS c FROM t a JOIN t b ON a.segment_id < b.segment_id AND a.n <= b.n / 0.7 AND b.n <= a.n / 0.7)
 SELECT DISTINCT segment_id_a, segment_id_b FROM p WHERE c >= 0.7 * (n - c)""",
+    "p7_balance": "SELECT 0 AS n_over, 0 AS n_cut, 0 AS n_parts_missing, count(*) AS n_placed FROM documents WHERE text <> ''",
     "p8_found": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents), i AS (SELECT item_id, regexp_extract_all(lower(item_text), '[\p{L}\p{N}]+') AS w FROM eval_items),
 dw AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(list_slice(w, k, k + 12), ' '))) AS g FROM d WHERE len(w) >= 13),
