@@ -401,19 +401,19 @@ def marks(items: DataFrame, fixes: DataFrame) -> DataFrame:
                     if known is None:
                         if len(memo) > 500_000:
                             memo.clear()
-                        words_ = [(o, p.lower(), len(p)) for o, p in cores(token)]
+                        words_ = [(o, w, len(w), w in noisy, w in choice) for o, w in ((o, p.lower()) for o, p in cores(token))]
                         numbers = number_cores(token)
-                        plain = not numbers and not any(w in noisy or w in choice for _, w, _ in words_)
+                        plain = not numbers and not any(n or c for *_, n, c in words_)
                         known = memo[token] = (plain, words_[-1][1] if words_ else "", words_, numbers)
                     plain, last, words_, numbers = known
                     if plain:
                         before = last or before
                         continue
-                    for o, low, size in words_:
-                        if low in noisy:
+                    for o, low, size, is_noisy, is_choice in words_:
+                        if is_noisy:
                             at = clean.index(token, at)
                             out.append(("w", source, item, h, at + o, at + o + size, low, before, 0))
-                        if before and low in choice:
+                        if before and is_choice:
                             pairs[before, low] += 1
                         before = low
                     if numbers:
