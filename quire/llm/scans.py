@@ -401,7 +401,7 @@ def marks(items: DataFrame, fixes: DataFrame) -> DataFrame:
                     if known is None:
                         if len(memo) > 500_000:
                             memo.clear()
-                        words_ = [(o, w, len(w), w in noisy, w in choice) for o, w in ((o, p.lower()) for o, p in cores(token))]
+                        words_ = [(o, p.lower(), len(p), p.lower() in noisy, p.lower() in choice) for o, p in cores(token)]
                         numbers = number_cores(token)
                         plain = not numbers and not any(n or c for *_, n, c in words_)
                         known = memo[token] = (plain, words_[-1][1] if words_ else "", words_, numbers)
