@@ -31,6 +31,15 @@ def hot_keys(counts: DataFrame, key: str, n: str, total: int) -> tuple[DataFrame
     return hot.select(key, F.ceil(F.col("_n") / F.lit(share)).cast("int").alias("_salts")), share
 
 
+def hot_rows(counts: DataFrame, key: str, total: int) -> DataFrame | None:
+    """Keys of a written table of counts whose ``n`` is above a fair share of ``total``, with their salts; None if none is."""
+    share = fair_share(counts.sparkSession, total)
+    if total <= share:
+        return None
+    hot = counts.where(F.col("n") > share).groupBy(key).agg(F.max(F.ceil(F.col("n") / F.lit(share))).cast("int").alias("_salts"))
+    return None if hot.isEmpty() else hot
+
+
 def salted_join(many: DataFrame, few: DataFrame, on: list[str], hot: DataFrame | None, key: str, spread: Column, how: str = "inner") -> DataFrame:
     """Inner or left join of ``many`` with ``few`` on ``on``; rows of a hot key go to several tasks.
 
