@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.words import WordHash, mix, words_of
+from quire.operators.skew import hot_rows, salted_join
 from quire.session import cut
 
 BANDS, ROWS = 48, 7
@@ -62,12 +63,13 @@ def gram_sets(df: DataFrame, key: str, text: str, n: int = 1, least: int = LEAST
 def classes(sets: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """Classes (class_id, grams) with small integer ids, and members (key, class_id)."""
     members = cut(sets.select(key, "h1", "h2", "grams"), "sets")
-    one = members.groupBy("h1", "h2").agg(F.first("grams").alias("grams")).withColumn("m", F.monotonically_increasing_id())
+    one = members.groupBy("h1", "h2").agg(F.first("grams").alias("grams"), F.count("*").alias("n")).withColumn("m", F.monotonically_increasing_id())
     one = cut(one, "classes")
     width = one.agg(F.coalesce(F.max(F.shiftright("m", 33)), F.lit(0))).first()[0] + 1
     dense = (F.col("m").bitwiseAND((1 << 33) - 1) * F.lit(width) + F.shiftright("m", 33)).cast("long")
     one = one.withColumn("class_id", dense)
-    belongs = members.select(key, "h1", "h2").distinct().join(one.select("h1", "h2", "class_id"), ["h1", "h2"]).select(key, "class_id")
+    hot = hot_rows(one.select("h1", "n"), "h1", members.count())
+    belongs = salted_join(members.select(key, "h1", "h2").distinct(), one.select("h1", "h2", "class_id"), ["h1", "h2"], hot, "h1", F.col(key)).select(key, "class_id")
     return one.select("class_id", "grams"), cut(belongs, "members")
 
 
@@ -130,9 +132,12 @@ def near_duplicates(df: DataFrame, key: str, text: str, n: int = 1, threshold: f
 
 def record_pairs(links: DataFrame, members: DataFrame, key: str) -> DataFrame:
     """All pairs of different ids (a < b): across linked classes and within a class."""
-    m1, m2 = members.select(F.col("class_id").alias("a"), F.col(key).alias("k1")), members.select(F.col("class_id").alias("b"), F.col(key).alias("k2"))
-    across = links.select("a", "b").join(m1, "a").join(m2, "b").select("k1", "k2")
-    within = m1.join(m2.withColumnRenamed("b", "a"), "a").where("k1 < k2").select("k1", "k2")
+    sizes = cut(members.groupBy("class_id").agg(F.count("*").alias("n")), "sizes")
+    hot = hot_rows(sizes, "class_id", members.count())
+    m1, m2 = members.select("class_id", F.col(key).alias("k1")), members.select("class_id", F.col(key).alias("k2"))
+    across = salted_join(m1, links.select(F.col("a").alias("class_id"), "b"), ["class_id"], hot, "class_id", F.col("k1")).select(F.col("b").alias("class_id"), "k1")
+    across = salted_join(m2, across, ["class_id"], hot, "class_id", F.col("k2")).select("k1", "k2")
+    within = salted_join(m1, m2, ["class_id"], hot, "class_id", F.col("k1")).where("k1 < k2").select("k1", "k2")
     both = across.unionByName(within).where("k1 <> k2")
     return both.select(F.least("k1", "k2").alias(f"{key}_a"), F.greatest("k1", "k2").alias(f"{key}_b")).distinct()
 

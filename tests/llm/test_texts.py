@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quire.llm import leaks, neardup, scans, spam, words
+from quire.operators import skew
 
 VOCAB = [f"{a}{b}{c}" for a in "bcdfgl" for b in "aeiou" for c in ("nt", "rs", "ck", "mp", "ld")]
 
@@ -48,6 +49,18 @@ def test_near_duplicates_equal_brute_force(spark):
     assert any(r.n_members > 1 for r in per)
 
 
+def test_near_duplicates_with_a_hot_class(spark, monkeypatch):
+    monkeypatch.setattr(skew, "FAIR_SHARE", 10)
+    rng = random.Random(8)
+    base = _text(rng, 40)
+    rows = [(f"h{i:02}", base) for i in range(40)] + [(f"n{i}", _edited(rng, base, 0.05)) for i in range(3)] + [(f"r{i}", _text(rng, 40)) for i in range(40)]
+    links, members = neardup.near_duplicates(spark.createDataFrame(rows, "segment_id string, text string"), "segment_id", "text")
+    got = [(r[0], r[1]) for r in neardup.record_pairs(links, members, "segment_id").collect()]
+    sets = [(k, set(words.words_of(t))) for k, t in rows]
+    want = {tuple(sorted((a, b))) for i, (a, x) in enumerate(sets) for b, y in sets[:i] if len(x & y) >= 0.7 * len(x | y)}
+    assert set(got) == want and len(got) == len(want) >= 43 * 42 // 2
+
+
 def test_near_duplicates_of_nothing(spark):
     df = spark.createDataFrame([], "segment_id string, text string")
     links, members = neardup.near_duplicates(df, "segment_id", "text")
